@@ -28,7 +28,7 @@ def merge_text(
     key are dropped.
 
     Equal texts collapse before the shuffle. Of a cut column only the texts
-    that start within the width can show, so the others are dropped before
+    that begin within the width can show, so the others are dropped before
     they are collected: what is collected per key is bounded by the width. The
     keys listed in ``heavy`` are pre-cut in ``salts`` groups first.
     """
@@ -92,7 +92,7 @@ def merge_text(
 
 
 def _within_width(texts, group, widths, sep):
-    """Rows whose text starts within the width of the joined text of its group.
+    """Rows whose text, or the separator before it, starts within the cut width.
 
     A text takes at least one character and the separator, which bounds the
     row number and lets Spark limit each group before the shuffle; the running
@@ -100,7 +100,7 @@ def _within_width(texts, group, widths, sep):
     """
     order = Window.partitionBy(*group).orderBy(F.col("_text").asc_nulls_last())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    most = -(-max(widths.values()) // (1 + len(sep)))
+    most = -(-(max(widths.values()) + len(sep)) // (1 + len(sep)))
     texts = texts.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= most)
     start = F.coalesce(F.sum(F.length("_text") + len(sep)).over(before), F.lit(0))
     width = F.lit(max(widths.values()))
@@ -109,7 +109,9 @@ def _within_width(texts, group, widths, sep):
             F.create_map(*[F.lit(v) for pair in widths.items() for v in pair]), F.col("_col")
         )
     return (
-        texts.withColumn("_start", start).where(F.col("_start") < width).drop("_nth", "_start")
+        texts.withColumn("_start", start)
+        .where(F.col("_start") < width + len(sep))
+        .drop("_nth", "_start")
     )
 
 
