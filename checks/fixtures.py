@@ -6,6 +6,8 @@ table of the engine. The projections are fixed values agreed in FIXTURES.md.
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
@@ -94,16 +96,26 @@ FEED_NAMES = {
 BASE = ["nation", "customer", "orders", "lineitem", "documents", "pages"]
 
 
-def view_sql(name: str, tables: dict[str, str] | None = None) -> str:
-    """Projection text over the given tables (by default, views of the plain names)."""
-    return VIEWS[name].format(**(tables or {t: t for t in BASE}))
+def view_sql(name: str) -> str:
+    """Projection text over views of the plain table names, for DuckDB."""
+    return VIEWS[name].format(**{t: t for t in BASE})
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The driver's tables the stand-ins are made of."""
+    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE}
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(
+    spark: SparkSession, sf_dir: str, name: str, raw: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """A stand-in table over the Parquet files of ``sf_dir``."""
-    return spark.sql(view_sql(name, {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in BASE}))
+    used = {t for _, t, _, _ in Formatter().parse(VIEWS[name]) if t}
+    raw = raw or {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    return spark.sql(VIEWS[name], **{t: raw[t] for t in used})
 
 
 def feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All stand-in tables under their feed names."""
-    return {feed_name: view(spark, sf_dir, v) for feed_name, v in FEED_NAMES.items()}
+    raw = raw_tables(spark, sf_dir)
+    return {feed_name: view(spark, sf_dir, v, raw) for feed_name, v in FEED_NAMES.items()}

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fit, visible_length
-from ..plans.star import Satellite, star_join
+from ..plans.skew import DEFAULT_POLICY, SkewPolicy, heavy_keys, split_counts
+from ..plans.star import HUB, Satellite, star_join
 from ..schemas import BIRTH_PLACE, KEY
 
 
@@ -89,16 +90,20 @@ def format_address(
     country: DataFrame,
     ties: str = "all",
     overlong: str = "error",
-    heavy: list[str] | None = None,
-    splits: dict[str, dict[str, int]] | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Best addresses with country name and birth place.
 
     Every birth place multiplies the addresses of its entity; an entity with a
     birth place only has no row.
     """
-    hub = address_rows(address, country, ties, overlong, heavy)
-    places = Satellite("birth_place", birth_places(address, overlong))
-    return star_join(hub, [places], splits).select(
+    places = birth_places(address, overlong)
+    heavy = heavy_keys(
+        {HUB: address.where(F.col("AddressTypeDesc") != BIRTH_PLACE), "birth_place": places}, policy
+    )
+    best = address_rows(address, country, ties, overlong, heavy.get(HUB))
+    candidates = sorted({k for keys in heavy.values() for k in keys})
+    splits = split_counts({HUB: best, "birth_place": places}, candidates, policy)
+    return star_join(best, [Satellite("birth_place", places)], splits).select(
         KEY, "AddressLine1", "AddressLine2", "City", "CountryCode", "POB", "Country"
     )

@@ -81,7 +81,9 @@ def joined_attributes(
     """The star join behind the profiles, before the list type is known.
 
     ``last`` is one more satellite, joined after all others. Satellites with
-    one row per entity come first, so that rows multiply late.
+    one row per entity come first, so that rows multiply late. Heavy keys are
+    looked for on the key columns of the inputs, then counted exactly on the
+    rows that are joined.
     """
     entity = tables["Entity"]
     if row_limit is not None:
@@ -89,7 +91,17 @@ def joined_attributes(
     address, assoc = tables["EntityAddress"], tables["EntityCountryAssociation"]
     country, ident, remark = tables["Country"], tables["EntityIdentification"], tables["EntityRemark"]
 
-    heavy = heavy_keys({"address": address, "remark": remark}, policy)
+    inputs = {
+        HUB: entity,
+        "nationality": assoc.where(F.col("AssociationTypeDesc") == "Nationality"),
+        "enforcement": tables["EntityEnforcement"],
+        "sanction": tables["EntitySanction"],
+        "address": address.where(F.col("AddressTypeDesc") != BIRTH_PLACE),
+        "birth_place": address.where(F.col("AddressTypeDesc") == BIRTH_PLACE),
+    }
+    if last:
+        inputs[last.name] = last.rows
+    heavy = heavy_keys({**inputs, "remark": remark}, policy)
 
     hub = entity.select(
         KEY,
@@ -104,7 +116,7 @@ def joined_attributes(
     satellites = [
         Satellite("exposed", pep_entities(assoc).withColumn("_exposed", F.lit(True))),
         Satellite("birth_dates", format_birth_dates(tables["EntityDOB"], order, null_parts)),
-        Satellite("remarks", merge_remarks(remark, null_if_single, heavy.get("remark"))),
+        Satellite("remarks", merge_remarks(remark, null_if_single, heavy.get("remark", []))),
         Satellite(
             "sources",
             merge_sources(tables["EntitySourceItem"])
@@ -136,7 +148,9 @@ def joined_attributes(
             for s in satellites
         ]
 
-    splits = _splits(tables, hub, satellites, last, policy)
+    rows = {HUB: hub, **{s.name: s.rows for s in satellites}}
+    candidates = sorted({k for name in inputs for k in heavy.get(name, [])})
+    splits = split_counts({name: rows[name] for name in inputs}, candidates, policy)
     return star_join(hub, satellites, splits).withColumn(
         "_source", F.coalesce("_enforced", "_sanctioned")
     )
@@ -144,22 +158,3 @@ def joined_attributes(
 
 def _source(table: DataFrame, name: str) -> DataFrame:
     return table.where(F.col(KEY).isNotNull()).select(KEY, F.col("SourceName").alias(name))
-
-
-def _splits(tables, hub, satellites, last, policy):
-    """Keys to spread, found on the cheap key columns and then counted exactly."""
-    assoc, address = tables["EntityCountryAssociation"], tables["EntityAddress"]
-    inputs = {
-        HUB: tables["Entity"],
-        "nationality": assoc.where(F.col("AssociationTypeDesc") == "Nationality"),
-        "enforcement": tables["EntityEnforcement"],
-        "sanction": tables["EntitySanction"],
-        "address": address.where(F.col("AddressTypeDesc") != BIRTH_PLACE),
-        "birth_place": address.where(F.col("AddressTypeDesc") == BIRTH_PLACE),
-    }
-    if last:
-        inputs[last.name] = last.rows
-    rows = {HUB: hub, **{s.name: s.rows for s in satellites}}
-    found = heavy_keys(inputs, policy)
-    candidates = sorted({k for keys in found.values() for k in keys})
-    return split_counts({name: rows[name] for name in inputs}, candidates, policy)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fit
+from ..plans.skew import DEFAULT_POLICY, SkewPolicy, heavy_keys
 from ..schemas import KEY, NATIONAL_ID_PREFIX
 
 SEPARATOR = "; "
@@ -125,9 +126,17 @@ def merge_sources(source_item: DataFrame) -> DataFrame:
 
 
 def merge_remarks(
-    remark: DataFrame, null_if_single: bool = False, heavy: list[str] | None = None
+    remark: DataFrame,
+    null_if_single: bool = False,
+    heavy: list[str] | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Remarks of each entity, each cut to 4000 characters, joined and cut again."""
+    """Remarks of each entity, each cut to 4000 characters, joined and cut again.
+
+    Heavy entities are looked for unless they are given.
+    """
+    if heavy is None:
+        heavy = heavy_keys({"remark": remark}, policy).get("remark")
     cut = remark.select(KEY, fit(F.col("Remark"), 4000).alias("Remark"))
     return merge_text(cut, KEY, {"Remark": 4000}, null_if_single=null_if_single, heavy=heavy)
 

@@ -7,7 +7,6 @@ folder of part files; plain text files are split among tasks.
 from __future__ import annotations
 
 import logging
-
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,21 +67,22 @@ def stage_feed(
         reason = _reason(table)
         path = f"{target}/{table}"
         (
-            parsed.withColumn("_reason", reason)
-            .withColumn("_state", F.when(reason.isNull(), "good").otherwise("bad"))
-            .write.mode("overwrite").partitionBy("_state").parquet(path)
+            parsed.withColumn("LoadReason", reason)
+            .withColumn("LoadState", F.when(reason.isNull(), "good").otherwise("bad"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("LoadState").parquet(path)
         )
-        whole = T.StructType([*parsed.schema.fields, T.StructField("_reason", T.StringType()),
-                              T.StructField("_state", T.StringType())])
+        whole = T.StructType([*parsed.schema.fields, T.StructField("LoadReason", T.StringType()),
+                              T.StructField("LoadState", T.StringType())])
         stored = spark.read.schema(whole).parquet(path)
         states = dict(
-            (r["_state"], r["count"]) for r in stored.groupBy("_state").count().collect()
+            (r["LoadState"], r["count"]) for r in stored.groupBy("LoadState").count().collect()
         )
         good, bad = states.get("good", 0), states.get("bad", 0)
         log.info("%s: %d rows, %d bad", table, good, bad)
         lines.append((table, good, bad))
         _check_budget(bad, table, max_errors)
-        staged[table] = stored.where(F.col("_state") == "good").select(*FEED[table])
+        staged[table] = stored.where(F.col("LoadState") == "good").select(*FEED[table])
     audit = spark.createDataFrame(lines, "TableName string, Rows long, BadRows long")
     return staged, audit
 
