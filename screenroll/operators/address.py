@@ -101,9 +101,8 @@ def format_address(
     heavy = heavy_keys(
         {HUB: address.where(F.col("AddressTypeDesc") != BIRTH_PLACE), "birth_place": places}, policy
     )
-    best = address_rows(address, country, ties, overlong, heavy.get(HUB))
-    candidates = sorted({k for keys in heavy.values() for k in keys})
-    splits = split_counts({HUB: best, "birth_place": places}, candidates, policy)
+    best = address_rows(address, country, ties, overlong, list(heavy.get(HUB, [])))
+    splits = split_counts({HUB: best, "birth_place": places}, heavy, policy)
     return star_join(best, [Satellite("birth_place", places)], splits).select(
         KEY, "AddressLine1", "AddressLine2", "City", "CountryCode", "POB", "Country"
     )

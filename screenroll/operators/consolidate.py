@@ -44,10 +44,16 @@ def consolidate(
     operators: ``ties``, ``overlong``, ``order``, ``null_parts``,
     ``null_if_single``.
     """
-    rows = joined_attributes(tables, row_limit, dedup, policy, **options)
-    profiles = with_list_type(rows).select(*PROFILE_COLUMNS)
-    # Rows are already partitioned by entity, so this needs no shuffle of its own.
-    return profiles.distinct() if dedup else profiles
+    if not dedup:
+        rows = joined_attributes(tables, row_limit, False, policy, **options)
+        return with_list_type(rows).select(*PROFILE_COLUMNS)
+    # Joined rows are already partitioned by entity, so they need no further
+    # shuffle; the rows without an id have their own, small one.
+    joined = joined_attributes(tables, row_limit, True, policy, anonymous=False, **options)
+    profiles = with_list_type(joined).select(*PROFILE_COLUMNS).distinct()
+    return profiles.unionByName(
+        _entities(tables["Entity"], row_limit, False).distinct(), allowMissingColumns=True
+    ).select(*PROFILE_COLUMNS)
 
 
 def with_list_type(rows: DataFrame) -> DataFrame:
@@ -59,7 +65,7 @@ def with_list_type(rows: DataFrame) -> DataFrame:
     listed = ~exposed | F.coalesce(source != PEP, F.lit(False))
     types = F.array_compact(
         F.array(
-            F.when(listed, F.struct(fit(source, 50).alias("WLType"))),
+            F.when(listed, F.struct(fit(source, 50).cast("string").alias("WLType"))),
             F.when(exposed, F.struct(F.lit(PEP).alias("WLType"))),
         )
     )
@@ -72,6 +78,7 @@ def joined_attributes(
     dedup: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
     last: Satellite | None = None,
+    anonymous: bool = True,
     ties: str = "all",
     overlong: str = "error",
     order: str = "text",
@@ -83,16 +90,15 @@ def joined_attributes(
     ``last`` is one more satellite, joined after all others. Satellites with
     one row per entity come first, so that rows multiply late. Heavy keys are
     looked for on the key columns of the inputs, then counted exactly on the
-    rows that are joined.
+    rows that are joined. Entities without an id match nothing; they bypass
+    the joins, or are left out without ``anonymous``.
     """
-    entity = tables["Entity"]
-    if row_limit is not None:
-        entity = entity_row_limit(entity, row_limit)
+    hub = _entities(tables["Entity"], row_limit, True)
     address, assoc = tables["EntityAddress"], tables["EntityCountryAssociation"]
     country, ident, remark = tables["Country"], tables["EntityIdentification"], tables["EntityRemark"]
 
     inputs = {
-        HUB: entity,
+        HUB: hub,
         "nationality": assoc.where(F.col("AssociationTypeDesc") == "Nationality"),
         "enforcement": tables["EntityEnforcement"],
         "sanction": tables["EntitySanction"],
@@ -103,20 +109,10 @@ def joined_attributes(
         inputs[last.name] = last.rows
     heavy = heavy_keys({**inputs, "remark": remark}, policy)
 
-    hub = entity.select(
-        KEY,
-        fit(F.col("EntityID"), 50).alias("ReferenceID"),
-        fit(F.col("EntityTypeDesc"), 50).alias("EntityType"),
-        fit(F.col("Gender"), 50).alias("Gender"),
-        fit(full_name(F.col("FirstName"), F.col("MiddleName")), 4000).alias("FirstName"),
-        fit(F.col("LastName"), 250).alias("LastName"),
-        fit(F.col("Name"), 500).alias("SecondName"),
-        fit(F.col("Title"), 250).alias("Title"),
-    )
     satellites = [
         Satellite("exposed", pep_entities(assoc).withColumn("_exposed", F.lit(True))),
         Satellite("birth_dates", format_birth_dates(tables["EntityDOB"], order, null_parts)),
-        Satellite("remarks", merge_remarks(remark, null_if_single, heavy.get("remark", []))),
+        Satellite("remarks", merge_remarks(remark, null_if_single, heavy.get("remark", {}), policy)),
         Satellite(
             "sources",
             merge_sources(tables["EntitySourceItem"])
@@ -135,7 +131,7 @@ def joined_attributes(
         Satellite("sanction", _source(tables["EntitySanction"], "_sanctioned")),
         Satellite(
             "address",
-            address_rows(address, country, ties, overlong, heavy.get("address"))
+            address_rows(address, country, ties, overlong, list(heavy.get("address", [])))
             .drop("CountryCode"),
         ),
         Satellite("birth_place", birth_places(address, overlong), only_with="HasAddress"),
@@ -149,10 +145,28 @@ def joined_attributes(
         ]
 
     rows = {HUB: hub, **{s.name: s.rows for s in satellites}}
-    candidates = sorted({k for name in inputs for k in heavy.get(name, [])})
-    splits = split_counts({name: rows[name] for name in inputs}, candidates, policy)
-    return star_join(hub, satellites, splits).withColumn(
-        "_source", F.coalesce("_enforced", "_sanctioned")
+    splits = split_counts({name: rows[name] for name in inputs}, heavy, policy)
+    joined = star_join(hub, satellites, splits)
+    if anonymous:
+        joined = joined.unionByName(
+            _entities(tables["Entity"], row_limit, False), allowMissingColumns=True
+        )
+    return joined.withColumn("_source", F.coalesce("_enforced", "_sanctioned"))
+
+
+def _entities(entity: DataFrame, row_limit: int | None, with_id: bool) -> DataFrame:
+    """Columns an entity brings to its profile, for entities with or without an id."""
+    if row_limit is not None:
+        entity = entity_row_limit(entity, row_limit)
+    return entity.where(F.col(KEY).isNotNull() if with_id else F.col(KEY).isNull()).select(
+        KEY,
+        fit(F.col("EntityID"), 50).alias("ReferenceID"),
+        fit(F.col("EntityTypeDesc"), 50).alias("EntityType"),
+        fit(F.col("Gender"), 50).alias("Gender"),
+        fit(full_name(F.col("FirstName"), F.col("MiddleName")), 4000).alias("FirstName"),
+        fit(F.col("LastName"), 250).alias("LastName"),
+        fit(F.col("Name"), 500).alias("SecondName"),
+        fit(F.col("Title"), 250).alias("Title"),
     )
 
 

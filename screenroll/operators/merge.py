@@ -35,26 +35,16 @@ def merge_text(
     """
     columns = list(widths)
     ids = {c: i for i, c in enumerate(columns)}
-    texts = (
-        df.where(F.col(key).isNotNull())
-        .select(
-            key,
-            F.explode(
-                F.array(*[
-                    F.struct(F.lit(i).alias("_col"), F.col(c).cast("string").alias("_raw"))
-                    for c, i in ids.items()
-                ])
-            ).alias("_t"),
-        )
-        .select(key, "_t._col", F.nullif("_t._raw", F.lit("")).alias("_text"), "_t._raw")
-        if len(columns) > 1
-        else df.where(F.col(key).isNotNull()).select(
-            key,
-            F.lit(0).alias("_col"),
-            F.nullif(F.col(columns[0]), F.lit("")).alias("_text"),
-            F.col(columns[0]).alias("_raw"),
-        )
-    )
+    rows = df.where(F.col(key).isNotNull())
+    if len(columns) > 1:
+        pieces = [
+            F.struct(F.lit(i).alias("_col"), F.col(c).cast("string").alias("_raw"))
+            for c, i in ids.items()
+        ]
+        rows = rows.select(key, F.inline(F.array(*pieces)))
+    else:
+        rows = rows.select(key, F.col(columns[0]).cast("string").alias("_raw"))
+    texts = rows.withColumn("_text", F.nullif("_raw", F.lit("")))
     group = [key, "_col"] if len(columns) > 1 else [key]
     counts = (
         [F.count("*").alias("_rows"), F.count("_raw").alias("_filled")] if null_if_single else []
@@ -128,17 +118,18 @@ def merge_sources(source_item: DataFrame) -> DataFrame:
 def merge_remarks(
     remark: DataFrame,
     null_if_single: bool = False,
-    heavy: list[str] | None = None,
+    heavy: dict[str, int] | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Remarks of each entity, each cut to 4000 characters, joined and cut again.
 
-    Heavy entities are looked for unless they are given.
+    Heavy entities are looked for unless they are given with their rows.
     """
     if heavy is None:
-        heavy = heavy_keys({"remark": remark}, policy).get("remark")
+        heavy = heavy_keys({"remark": remark}, policy).get("remark", {})
+    salts = -(-max(heavy.values(), default=1) // policy.rows_per_task)
     cut = remark.select(KEY, fit(F.col("Remark"), 4000).alias("Remark"))
-    return merge_text(cut, KEY, {"Remark": 4000}, null_if_single=null_if_single, heavy=heavy)
+    return merge_text(cut, KEY, {"Remark": 4000}, SEPARATOR, null_if_single, list(heavy), salts)
 
 
 def merge_national_ids(ident: DataFrame, null_if_single: bool = False) -> DataFrame:

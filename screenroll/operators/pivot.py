@@ -66,7 +66,7 @@ def pivot_other_ids(ident: DataFrame) -> DataFrame:
     national = F.col("IdentificationTypeDesc").startswith(NATIONAL_ID_PREFIX)
     ids = ident.where(F.col(KEY).isNotNull()).select(
         KEY,
-        fit(F.col("IdentificationTypeDesc"), 85).alias("_type"),
+        fit(F.col("IdentificationTypeDesc").cast("string"), 85).alias("_type"),
         fit(F.col("IdentificationNumber"), 50).alias("_number"),
         F.coalesce(national, F.lit(False)).alias("_national"),
     )

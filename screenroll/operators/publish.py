@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 from datetime import datetime, timezone
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,8 +113,8 @@ def publish(
 ) -> DataFrame:
     """Base and alias rows in one pass over the profiles, without ids."""
     satellite = alias_satellite(alias)
-    heavy = heavy_keys({ALIAS: satellite.rows}, policy).get(ALIAS, [])
-    splits = split_counts({ALIAS: satellite.rows}, heavy, policy)
+    frames = {ALIAS: satellite.rows}
+    splits = split_counts(frames, heavy_keys(frames, policy), policy)
     return list_rows(star_join(profiles, [satellite], splits), version_id, run_ts)
 
 
@@ -134,16 +136,14 @@ def assign_ids(df: DataFrame, dense: bool = False) -> DataFrame:
         return df.select(place.alias("ID"), "*")
     _ensure_checkpoint_dir(df)
     fixed = df.checkpoint()
-    counts = dict(
-        (r["p"], r["n"])
-        for r in fixed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
-    )
-    offsets, total = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append((p, total))
-        total += counts.get(p, 0)
+    sizes = fixed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    counts = {r["p"]: r["n"] for r in sizes.collect()}
+    parts = sorted(counts)
+    before = [0, *accumulate(counts[p] for p in parts)][: len(parts)]
     # One row per partition, so the size is bounded by the number of tasks.
-    first = df.sparkSession.createDataFrame(offsets, "_part int, _first long")
+    first = df.sparkSession.createDataFrame(
+        pa.table({"_part": pa.array(parts, pa.int32()), "_first": pa.array(before, pa.int64())})
+    )
     in_partition = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         fixed.withColumn("_place", place)

@@ -43,8 +43,8 @@ def planned_bytes(df: DataFrame) -> int:
 
 def heavy_keys(
     frames: dict[str, DataFrame], policy: SkewPolicy = DEFAULT_POLICY, key: str = KEY
-) -> dict[str, list[str]]:
-    """Heavy keys of each frame, found in one pass over the key columns.
+) -> dict[str, dict[str, int]]:
+    """Heavy keys of each frame with about their rows, in one pass over the key columns.
 
     Each task keeps a bounded frequency sketch, so no key is shuffled and one
     row per frame reaches the driver.
@@ -64,25 +64,26 @@ def heavy_keys(
     sketch = keys.groupBy("frame").agg(
         F.expr(f"approx_top_k(k, {policy.max_keys}, {policy.tracked})").alias("top")
     )
-    found: dict[str, list[str]] = {}
-    for row in sketch.collect():
-        heavy = sorted(t["item"] for t in row["top"] if t["count"] > policy.rows_per_task)
-        if heavy:
-            found[row["frame"]] = heavy
-    return found
+    found = {
+        row["frame"]: {t["item"]: t["count"] for t in row["top"] if t["count"] > policy.rows_per_task}
+        for row in sketch.collect()
+    }
+    return {frame: dict(sorted(keys.items())) for frame, keys in found.items() if keys}
 
 
 def split_counts(
     frames: dict[str, DataFrame],
-    candidates: list[str],
+    heavy: dict[str, dict[str, int]],
     policy: SkewPolicy = DEFAULT_POLICY,
     key: str = KEY,
 ) -> dict[str, dict[str, int]]:
     """For each heavy key, the frame to spread and into how many parts.
 
-    Counts the candidates exactly (at most a few hundred rows come back) and
-    picks the frame in which the key has most rows.
+    Counts the keys found heavy exactly, on the rows that are joined (at most
+    ``max_keys`` rows per frame come back), and picks the frame in which a key
+    has most rows.
     """
+    candidates = sorted({k for name in frames for k in heavy.get(name, {})})
     if not candidates:
         return {}
     counts = reduce(

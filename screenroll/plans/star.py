@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,9 +56,13 @@ def star_join(
         return out
 
     spread = {k: (name, n) for name, keys in splits.items() for k, n in keys.items()}
+    keys = sorted(spread)
     heavy = hub.sparkSession.createDataFrame(
-        [(k, name, n) for k, (name, n) in sorted(spread.items())],
-        f"_heavy string, {_SPREAD} string, {_PARTS} int",
+        pa.table({
+            "_heavy": pa.array(keys, pa.string()),
+            _SPREAD: pa.array([spread[k][0] for k in keys], pa.string()),
+            _PARTS: pa.array([spread[k][1] for k in keys], pa.int32()),
+        })
     )
     out = _salted(HUB, hub, heavy, splits.get(HUB), key)
     # The hub keeps its key's spread name, to tell empty salts from missing rows.

@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,7 +84,8 @@ def stage_feed(
         lines.append((table, good, bad))
         _check_budget(bad, table, max_errors)
         staged[table] = stored.where(F.col("LoadState") == "good").select(*FEED[table])
-    audit = spark.createDataFrame(lines, "TableName string, Rows long, BadRows long")
+    names, good, bad = zip(*lines)
+    audit = spark.createDataFrame(pa.table({"TableName": names, "Rows": good, "BadRows": bad}))
     return staged, audit
 
 
@@ -111,19 +113,20 @@ def load_audit(tables: dict[str, DataFrame], bad: dict[str, DataFrame] | None =
 
 
 def collate(tables: dict[str, DataFrame], collation: str = "UTF8_LCASE_RTRIM") -> dict[str, DataFrame]:
-    """Tables whose ids, type labels, country codes and source names compare under a collation.
+    """Tables that compare without regard to case and trailing blanks.
 
-    Opt-in: without it all comparisons are binary. Merged texts stay binary.
+    Opt-in: without it all comparisons are binary. Labels and source names get
+    the collation; ids and country codes, which are joined on, get one upper
+    case spelling. Merged texts stay binary.
     """
-    def compared(name: str) -> bool:
-        return name in ("EntityGUID", "ISOStandard", "tISO", "SourceName") or name.endswith("TypeDesc")
+    def compared(name: str) -> Column:
+        if name in ("EntityGUID", "ISOStandard", "tISO"):
+            return F.upper(F.rtrim(name)).alias(name)
+        if name == "SourceName" or name.endswith("TypeDesc"):
+            return F.collate(name, collation).alias(name)
+        return F.col(name)
 
-    return {
-        table: df.select(*[
-            F.collate(c, collation).alias(c) if compared(c) else F.col(c) for c in df.columns
-        ])
-        for table, df in tables.items()
-    }
+    return {table: df.select(*[compared(c) for c in df.columns]) for table, df in tables.items()}
 
 
 def _parse(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -131,7 +134,7 @@ def _parse(spark: SparkSession, folder: str, table: str) -> DataFrame:
     path = f"{folder}/{table}.txt"
     if not _exists(spark, path):
         log.warning("no file for %s, skipping", table)
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     return (
         spark.read.schema(schema)
         .option("sep", "|").option("header", True).option("quote", "").option("escape", "")

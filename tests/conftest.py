@@ -1,6 +1,7 @@
 import sys
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
@@ -15,7 +16,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
@@ -32,8 +34,8 @@ def table(spark):
 
     def build(name, *rows):
         columns = [c for c, w in FEED[name].items() if w != "ts"]
-        data = [tuple(r.get(c) for c in columns) for r in rows]
-        return spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns))
+        data = {c: pa.array([r.get(c) for r in rows], pa.string()) for c in columns}
+        return spark.createDataFrame(pa.table(data))
 
     return build
 

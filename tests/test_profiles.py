@@ -85,6 +85,16 @@ def test_one_pass_equals_two_branches(spark):
     assert spark_bag(consolidate(tables)) == spark_bag(two_branches(tables))
 
 
+def test_entities_without_id_bypass_the_joins(small_feed, rows_of):
+    tables = small_feed(Entity=[{KEY: None, "EntityID": "7"}] * 2 + [{KEY: "E1", "EntityID": "1"}],
+                        EntityAlias=[{KEY: None, "AliasTypeDesc": "AKA", "Name": "n"}],
+                        EntitySanction=[source("G"), {KEY: None, "SourceName": "x"}])
+    expected = [("1", "G"), ("7", None), ("7", None)]
+    assert rows_of(consolidate(tables), "ReferenceID", "WLType") == expected
+    assert rows_of(consolidate(tables, dedup=True), "ReferenceID", "WLType") == expected[:2]
+    assert rows_of(build_watchlist(tables, "1", TS), "ReferenceID", "WLType") == expected
+
+
 def test_row_limit(small_feed, rows_of):
     tables = small_feed(Entity=[{KEY: k} for k in ("E3", "E1", "E2", "E4")])
     assert rows_of(consolidate(tables, row_limit=2), KEY) == [("E1",), ("E2",)]
@@ -102,13 +112,23 @@ def test_collation_is_opt_in(small_feed, rows_of):
     assert rows_of(consolidate(collate(tables)), *columns) == [("PEP", "France", "a", "Rom", "5")]
 
 
+@pytest.fixture(autouse=True, scope="module")
+def quick_small_plans(spark):
+    """Rows are few and plans are large here, so compiling and re-planning would dominate."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
 # --- heavy keys -----------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 3])
-def test_spread_plan_gives_the_same_list(spark, rows_per_task):
+def test_spread_plan_gives_the_same_list(spark):
     tables = feed(spark, SF)
-    policy = SkewPolicy(rows_per_task=rows_per_task, min_bytes=0)
+    policy = SkewPolicy(rows_per_task=3, min_bytes=0)
     plain = spark_bag(build_watchlist(tables, "7", TS))
     assert spark_bag(build_watchlist(tables, "7", TS, policy=policy)) == plain
 
@@ -125,8 +145,9 @@ def test_heavy_keys_are_found_only_in_large_tables(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(KEY))
     assert heavy_keys({"t": df}) == {}
     policy = SkewPolicy(rows_per_task=100, min_bytes=0)
-    assert heavy_keys({"t": df}, policy) == {"t": ["hot"]}
-    assert split_counts({"t": df}, ["hot"], policy) == {"t": {"hot": 4}}
+    assert heavy_keys({"t": df}, policy) == {"t": {"hot": 334}}
+    assert split_counts({"t": df}, {"t": {"hot": 334}}, policy) == {"t": {"hot": 4}}
+    assert split_counts({"t": df.where("id < 100")}, {"t": {"hot": 334}}, policy) == {}
 
 
 @pytest.mark.parametrize("spread", [
