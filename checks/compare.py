@@ -7,10 +7,12 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import io
 import math
 import sys
 import time
 from collections import Counter
+from contextlib import redirect_stdout
 
 import duckdb
 from pyspark.sql import SparkSession
@@ -65,6 +67,13 @@ def duck_bag(con, sql):
     return bag([c[0] for c in cursor.description], cursor.fetchall())
 
 
+def physical_plan(df) -> str:
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
 def main(argv: list[str]) -> int:
     from checks.queries import REGISTRY
 

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from checks.compare import duck, duck_bag, spark_bag
+from checks.compare import duck, duck_bag, physical_plan, spark_bag
 from checks.oracle import STEPS, answer
 from checks.fixtures import BASE, VIEWS
 
@@ -29,6 +29,9 @@ def test_query_equals_duckdb(spark, con, name):
     sql = contract.oracle_sql()[name]
     assert sorted(df.columns) == sorted(c[0] for c in con.execute(sql).description)
     assert spark_bag(df) == duck_bag(con, sql)
+    plan = physical_plan(df)
+    assert "Python" not in plan and "ArrowEval" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 
 @pytest.mark.parametrize("step", sorted(EXPECTED))

@@ -1,13 +1,11 @@
 """Shapes of physical plans that matter at scale."""
 
-import io
 import re
-from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from checks.compare import physical_plan as plan
 from checks.fixtures import feed, view
 from screenroll.operators import (
     best_by_length, consolidate, format_address, format_birth_dates, map_nationality,
@@ -18,13 +16,6 @@ from screenroll.plans.build import build_watchlist
 SF = "/root/testdata/sf0.001"
 
 
-def plan(df) -> str:
-    out = io.StringIO()
-    with redirect_stdout(out):
-        df.explain()
-    return out.getvalue()
-
-
 @pytest.fixture
 def no_small_tables(spark):
     """Plan as for tables too large to broadcast."""
@@ -33,15 +24,6 @@ def no_small_tables(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_python_in_any_plan(spark, name):
-    if name == "assign_ids_dense" or name.startswith("read_feed"):
-        pytest.skip("runs jobs to build its plan")
-    text = plan(contract.queries()[name](spark, SF))
-    assert "Python" not in text and "ArrowEval" not in text
-    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
-
-
 def test_groups_are_limited_before_the_shuffle(spark):
     address, dob, ident = (view(spark, SF, n) for n in ("address", "dob", "ident"))
     for df in (best_by_length(address, "EntityGUID", ["Address1"]), format_birth_dates(dob),
