@@ -106,7 +106,7 @@ def joined_attributes(
         "birth_place": address.where(F.col("AddressTypeDesc") == BIRTH_PLACE),
     }
     if last:
-        inputs[last.name] = last.rows
+        inputs[last.name] = last.rows if last.source is None else last.source
     heavy = heavy_keys({**inputs, "remark": remark}, policy)
 
     satellites = [

@@ -44,7 +44,7 @@ def alias_satellite(alias: DataFrame) -> Satellite:
     """
     rows = listed_aliases(alias)
     marks = rows.select(KEY).distinct().withColumn("_alias", F.lit(False))
-    return Satellite(ALIAS, rows.unionByName(marks, allowMissingColumns=True))
+    return Satellite(ALIAS, rows.unionByName(marks, allowMissingColumns=True), source=rows)
 
 
 def _list_columns(version_id: str, run_ts: str | None, alias_row: Column | None) -> list[Column]:
@@ -113,8 +113,8 @@ def publish(
 ) -> DataFrame:
     """Base and alias rows in one pass over the profiles, without ids."""
     satellite = alias_satellite(alias)
-    frames = {ALIAS: satellite.rows}
-    splits = split_counts(frames, heavy_keys(frames, policy), policy)
+    heavy = heavy_keys({ALIAS: satellite.source}, policy)
+    splits = split_counts({ALIAS: satellite.rows}, heavy, policy)
     return list_rows(star_join(profiles, [satellite], splits), version_id, run_ts)
 
 

@@ -30,12 +30,14 @@ class Satellite:
     """Rows to be joined to the hub.
 
     ``only_with`` names a boolean column of an earlier satellite: the rows are
-    joined only where it is true.
+    joined only where it is true. ``source`` has about the same keys and is
+    cheaper to look for heavy keys in.
     """
 
     name: str
     rows: DataFrame
     only_with: str | None = None
+    source: DataFrame | None = None
 
 
 def star_join(
