@@ -23,7 +23,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.FEED_QUERIES))
 def test_query_equals_duckdb(spark, con, name):
     df = contract.queries()[name](spark, SF)
     sql = contract.oracle_sql()[name]
