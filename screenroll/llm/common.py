@@ -50,3 +50,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def byte_texts(column: pa.Array) -> list[bytes]:
     """Texts of an Arrow string column as UTF-8 bytes, NULL as empty."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
+
+
+def slices(batches, rows: int = 512):
+    """Arrow batches cut small, so that Python objects of few texts exist at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

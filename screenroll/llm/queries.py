@@ -4,14 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import report as bpe_report
 from .common import read
 from .oracle_pii import pii_sql
 from .pii import report as pii_report
+from .quality import report as quality_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def _bpe(spark: SparkSession, d: str) -> DataFrame:
+    return bpe_report(read(spark, d, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+def _quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality_report(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_pii": (lambda s, d: pii_report(read(s, d, "documents")), pii_sql()),
+    "op6_bpe": (_bpe, None),
+    "op7_quality": (_quality, None),
 }
