@@ -8,26 +8,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import report as bpe_report
-from .common import read
+from .common import read, ship
 from .oracle_pii import pii_sql
 from .pii import report as pii_report
 from .quality import report as quality_report
+from .topk import report as topk_report
+from .topk import topk_sql
+from .warc import report as warc_report
+from .warc import warc_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def _bpe(spark: SparkSession, d: str) -> DataFrame:
-    return bpe_report(read(spark, d, "documents"), RANKS, public_tokenizers.PATTERN)
+def _over(operator: Callable[..., DataFrame], *tables: str, **options) -> Query:
+    """An operator applied to whole tables."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return operator(*[read(spark, sf_dir, t) for t in tables], **options)
 
-def _quality(spark: SparkSession, d: str) -> DataFrame:
-    return quality_report(read(spark, d, "documents"), read(spark, d, "labels"))
+    return query
 
 
+BPE = {"rank_path": RANKS, "pattern": public_tokenizers.PATTERN}
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
-    "op1_pii": (lambda s, d: pii_report(read(s, d, "documents")), pii_sql()),
-    "op6_bpe": (_bpe, None),
-    "op7_quality": (_quality, None),
+    "op1_pii": (_over(pii_report, "documents"), pii_sql()),
+    "op2_warc": (_over(warc_report, "pages"), warc_sql()),
+    "op6_bpe": (_over(bpe_report, "documents", **BPE), None),
+    "op7_quality": (_over(quality_report, "documents", "labels"), None),
+    "op8_topk": (_over(topk_report, "embeddings"), topk_sql()),
 }
