@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 #: Pieces whose ids a worker remembers; a speed-up only, every other piece is merged anew.
-REMEMBERED = 300_000
+REMEMBERED = 450_000
 #: Pieces merged together, and characters beyond which a text is split piece by piece.
 HELD_PIECES = 200_000
 LONG_TEXT = 1_000_000
@@ -123,14 +123,23 @@ class Codec:
                 end = after[p] = after[q]
                 before[end] = p
                 after[q] = GONE
-                far = after[end]
-                if far - p <= longest and (found := ranks(data[p:far])) is not None:
-                    push(found, p)
-                    lower = found < rank
-                left = before[p]
-                if left >= 0 and end - left <= longest and (found := ranks(data[left:end])) is not None:
-                    push(found, left)
-                    lower |= found < rank
+                far, left = after[end], before[p]
+                if far - p <= longest:
+                    found = ranks(data[p:far])
+                    if found is not None:
+                        lower = found < rank
+                        if found in buckets:
+                            buckets[found].append(p)
+                        else:
+                            push(found, p)
+                if left >= 0 and end - left <= longest:
+                    found = ranks(data[left:end])
+                    if found is not None:
+                        lower = lower or found < rank
+                        if found in buckets:
+                            buckets[found].append(left)
+                        else:
+                            push(found, left)
             if not bucket:
                 queue.drop(rank)
         out, rank_of = [], self.ranks

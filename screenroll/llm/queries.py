@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import report as bpe_report
 from .common import read, ship
+from .jaccard import jaccard_sql, join_components
 from .oracle_pii import pii_sql
 from .pii import report as pii_report
 from .quality import report as quality_report
@@ -40,4 +41,5 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op6_bpe": (_over(bpe_report, "documents", **BPE), None),
     "op7_quality": (_over(quality_report, "documents", "labels"), None),
     "op8_topk": (_over(topk_report, "embeddings"), topk_sql()),
+    "op10_jaccard": (_over(join_components, "documents"), jaccard_sql()),
 }
