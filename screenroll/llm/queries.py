@@ -13,6 +13,8 @@ from .jaccard import jaccard_sql, join_components
 from .oracle_pii import pii_sql
 from .pii import report as pii_report
 from .quality import report as quality_report
+from .substrings import report as substring_report
+from .substrings import substring_sql
 from .topk import report as topk_report
 from .topk import topk_sql
 from .warc import report as warc_report
@@ -41,5 +43,6 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op6_bpe": (_over(bpe_report, "documents", **BPE), None),
     "op7_quality": (_over(quality_report, "documents", "labels"), None),
     "op8_topk": (_over(topk_report, "embeddings"), topk_sql()),
+    "op9_substrings": (_over(substring_report, "documents"), substring_sql()),
     "op10_jaccard": (_over(join_components, "documents"), jaccard_sql()),
 }
