@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import report as bpe_report
 from .common import read, ship
+from .decontaminate import find_leaks
 from .jaccard import jaccard_sql, join_components
 from .oracle_pii import pii_sql
 from .pii import report as pii_report
@@ -40,6 +41,7 @@ BPE = {"rank_path": RANKS, "pattern": public_tokenizers.PATTERN}
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_pii": (_over(pii_report, "documents"), pii_sql()),
     "op2_warc": (_over(warc_report, "pages"), warc_sql()),
+    "op5_decontamination": (_over(find_leaks, "documents", "benchmark"), None),
     "op6_bpe": (_over(bpe_report, "documents", **BPE), None),
     "op7_quality": (_over(quality_report, "documents", "labels"), None),
     "op8_topk": (_over(topk_report, "embeddings"), topk_sql()),

@@ -17,6 +17,7 @@ _LOWER = _VALUE.copy()
 _LOWER[65:91] = _VALUE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -41,32 +42,42 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _chunk_words(data: np.ndarray, lower: bool) -> np.ndarray:
-    word = ~_SPACE[data]
+def _chunk_words(data: np.ndarray, lower: bool, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    word = ~gap[data]
     edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=0, append=0))
     starts, ends = edge[::2], edge[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER if lower else _VALUE)[data] * powers(_BASE, len(data)), out=sums[1:])
-    value = (sums[ends] - sums[starts]) * powers(_INVERSE, len(data))[starts] if len(starts) else sums[:0]
-    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    value = (sums[ends] - sums[starts]) * powers(_INVERSE, len(data))[starts]
+    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), starts
 
 
-def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
-    """Hashes of the words of a text in order; ``lower`` folds A-Z."""
-    if len(text) <= CHUNK:
-        return _chunk_words(np.frombuffer(text, np.uint8), lower) if text else np.zeros(0, np.uint64)
+def words_at(text: bytes, lower: bool = False, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and byte positions of the words of a text, in order.
+
+    ``lower`` folds A-Z; with ``plain`` all ASCII other than letters and digits separates words.
+    """
+    gap = _PLAIN if plain else _SPACE
     data, parts, start = np.frombuffer(text, np.uint8), [], 0
-    while start < len(data):
+    while start < len(data) or not parts:
         stop = start + CHUNK
         while stop < len(data):
-            gap = np.flatnonzero(_SPACE[data[stop:stop + CHUNK]])
-            if len(gap):
-                stop += int(gap[0])
+            gaps = np.flatnonzero(gap[data[stop:stop + CHUNK]])
+            if len(gaps):
+                stop += int(gaps[0])
                 break
             stop += CHUNK
-        parts.append(_chunk_words(data[start:min(stop, len(data))], lower))
+        hashes, at = _chunk_words(data[start:min(stop, len(data))], lower, gap)
+        parts.append((hashes, at + start))
         start = stop
-    return np.concatenate(parts)
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+
+def word_hashes(text: bytes, lower: bool = False, plain: bool = False) -> np.ndarray:
+    """Hashes of the words of a text in order."""
+    return words_at(text, lower, plain)[0]
 
 
 def ngram_hashes(words: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
