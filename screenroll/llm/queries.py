@@ -18,6 +18,7 @@ from .substrings import report as substring_report
 from .substrings import substring_sql
 from .topk import report as topk_report
 from .topk import topk_sql
+from .toxicity import report as toxicity_report
 from .warc import report as warc_report
 from .warc import warc_sql
 
@@ -41,6 +42,7 @@ BPE = {"rank_path": RANKS, "pattern": public_tokenizers.PATTERN}
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_pii": (_over(pii_report, "documents"), pii_sql()),
     "op2_warc": (_over(warc_report, "pages"), warc_sql()),
+    "op4_toxicity": (_over(toxicity_report, "documents", "labels"), None),
     "op5_decontamination": (_over(find_leaks, "documents", "benchmark"), None),
     "op6_bpe": (_over(bpe_report, "documents", **BPE), None),
     "op7_quality": (_over(quality_report, "documents", "labels"), None),

@@ -42,20 +42,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _chunk_words(data: np.ndarray, lower: bool, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chunk_words(data: np.ndarray, lower: bool, gap: np.ndarray) -> tuple[np.ndarray, ...]:
     word = ~gap[data]
     edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=0, append=0))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
-        return np.zeros(0, np.uint64), starts
+        return np.zeros(0, np.uint64), starts, ends
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER if lower else _VALUE)[data] * powers(_BASE, len(data)), out=sums[1:])
     value = (sums[ends] - sums[starts]) * powers(_INVERSE, len(data))[starts]
-    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), starts
+    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), starts, ends
 
 
-def words_at(text: bytes, lower: bool = False, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and byte positions of the words of a text, in order.
+def prefix_hashes(text: bytes, starts: np.ndarray, k: int, lower: bool = False) -> np.ndarray:
+    """Hashes of the ``k`` bytes from each position on."""
+    data = np.frombuffer(text, np.uint8)
+    out = np.full(len(starts), k, np.uint64)
+    for i in range(k):
+        out = out * np.uint64(_BASE) + (_LOWER if lower else _VALUE)[data[starts + i]]
+    return mix(out)
+
+
+def words_at(text: bytes, lower: bool = False, plain: bool = False) -> tuple[np.ndarray, ...]:
+    """Hashes, first and end bytes of the words of a text, in order.
 
     ``lower`` folds A-Z; with ``plain`` all ASCII other than letters and digits separates words.
     """
@@ -69,8 +78,8 @@ def words_at(text: bytes, lower: bool = False, plain: bool = False) -> tuple[np.
                 stop += int(gaps[0])
                 break
             stop += CHUNK
-        hashes, at = _chunk_words(data[start:min(stop, len(data))], lower, gap)
-        parts.append((hashes, at + start))
+        hashes, first, end = _chunk_words(data[start:min(stop, len(data))], lower, gap)
+        parts.append((hashes, first + start, end + start))
         start = stop
     return parts[0] if len(parts) == 1 else tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
