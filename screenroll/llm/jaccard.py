@@ -5,10 +5,11 @@ over index lists: for each of the first elements of a set (in one global order,
 its list holds size and position of the set. Index-level skipping: lists are cut into blocks by
 size, and blocks or entries whose sizes or positions rule a link out are skipped. Answer-level
 skipping: a list first compares its sets with one hub; sets that are linked to the hub are
-answered, the pairs among them need no comparison of their own. For pairs across the components
-found so far, the exact overlaps with the hub bound the overlap of the pair, and only pairs that
-can still be linked are compared. So a group of thousands of near copies costs a number of
-comparisons in proportion to its size, and no link between different components is lost.
+answered, the pairs among them need no comparison of their own. Pairs of sets that are similar to
+one hub but lie in different components are answered from their small differences to it, without
+their texts. Only pairs of different components without a common hub are compared one by one. So a
+group of thousands of near copies costs comparisons in proportion to its size, and no link between
+different components is lost.
 
 All steps are shuffles of numbers; texts travel only for sets that are compared. The order of
 elements comes from a bounded sample; it affects speed alone.
@@ -36,6 +37,8 @@ N = 3
 LINK, OF = 90, 100
 SAMPLE, FREQUENT, AT_LEAST = 8000, 200_000, 3
 LIST_BLOCK = 4096
+#: Sets with at least so many tenths in common count as similar; members of a hub compared at once.
+NEAR, MEMBERS = 7, 1024
 
 
 def shingle_set(text: bytes, n: int = N) -> np.ndarray:
@@ -196,10 +199,10 @@ def hub_pairs(lists: DataFrame) -> DataFrame:
 
 
 def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a list that can be linked by size and position and lie in different components.
+    """Pairs of a list that can be linked by size and position and are not answered yet.
 
-    Blocks of one list are paired where their sizes reach each other; ``roots`` gives the component
-    (and, of sets compared with a hub, hub and overlap) of the sets that have one.
+    Answered are pairs in one component and pairs with one hub (``roots`` has both for the sets
+    that have them). Blocks of one list are paired where their sizes reach each other.
     """
     # A closed list of two sets has no pair that its hub was not compared with.
     lists = lists.where(F.col("opened") | (F.size("sets") > 2))
@@ -207,7 +210,7 @@ def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
         "token", "part", "opened", F.col("e.n").alias("n"), F.col("e.at").alias("at"), F.col("e.sets").alias("set"))
     known = entries.join(roots, "set", "left").select(
         "token", "part", "opened", F.struct(
-            "n", "at", "set", F.coalesce("root", "set").alias("root"), "hub", "overlap").alias("e"))
+            "n", "at", "set", F.coalesce("root", "set").alias("root"), "hub").alias("e"))
     blocks = known.groupBy("token", "part", "opened").agg(
         F.collect_list("e").alias("e"), F.min("e.n").alias("low"), F.max("e.n").alias("high"),
         F.min("e.root").alias("first"), F.max("e.root").alias("last"))
@@ -226,28 +229,23 @@ def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
 
     def arrays(entries):
         return (np.array([e["n"] for e in entries]), np.array([e["at"] for e in entries]),
-                [e["set"] for e in entries], np.unique([e["root"] for e in entries], return_inverse=True),
-                [e["hub"] for e in entries], np.array([-1 if e["overlap"] is None else e["overlap"] for e in entries]))
+                [e["set"] for e in entries], np.unique([e["root"] for e in entries], return_inverse=True)[1],
+                [e["hub"] or e["set"] for e in entries])
 
     def run(batches):
         for batch in slices(batches, 64):
             for row in batch.to_pylist():
                 x = row["x"] if row["y"] is None else row["x"] + row["y"]
                 first = len(row["x"])
-                n, at, sets, (_, root), hubs, overlap = arrays(x)
-                hub_of = np.unique([h or b"" for h in hubs], return_inverse=True)[1]
+                n, at, sets, root, hubs = arrays(x)
+                hub = np.unique(hubs, return_inverse=True)[1]
                 out = []
                 for i in range(len(x)):
                     stop = i if row["y"] is None else first
                     if row["y"] is not None and i < first or not stop:
                         continue
                     j = slice(0, stop)
-                    can = (root[j] != root[i]) & _can(n[j], at[j], n[i], at[i])
-                    # Compared with the same hub: |x & y| <= |x & h| + |y - h|, and the other way round.
-                    if hubs[i] is not None:
-                        same = can & (hub_of[j] == hub_of[i])
-                        bound = np.minimum(overlap[j] + n[i] - overlap[i], overlap[i] + n[j] - overlap[j])
-                        can &= ~same | (bound >= -(-LINK * (n[j] + n[i]) // (OF + LINK)))
+                    can = (root[j] != root[i]) & (hub[j] != hub[i]) & _can(n[j], at[j], n[i], at[i])
                     out += [(sets[k], sets[i]) for k in np.flatnonzero(can)]
                 if out:
                     yield _pair_batch(out)
@@ -257,31 +255,106 @@ def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Exact sizes and overlap of pairs of sets; ``texts`` has one text per set. Texts go to the hub's task."""
+    """Exact sizes and overlap of pairs of sets, with the differences of similar ones.
+
+    ``missing`` holds the places of the elements of ``a`` that ``b`` lacks, ``extra`` the elements of
+    ``b`` that ``a`` lacks. ``texts`` has one text per set.
+    """
 
     def run(batches):
         last, hub = None, None
         for batch in slices(batches):
             a, b = batch.column("a"), batch.column("b")
-            overlap, n, m = [], [], []
+            overlap, n, m, missing, extra = [], [], [], [], []
             for name, x, y in zip(a.to_pylist(), byte_texts(batch.column("x")), byte_texts(batch.column("y")), strict=True):
                 if name != last:
                     last, hub = name, shingle_set(x)
                 other = shingle_set(y)
-                overlap.append(len(np.intersect1d(hub, other, assume_unique=True)))
+                common, at, its = np.intersect1d(hub, other, assume_unique=True, return_indices=True)
+                overlap.append(len(common))
                 n.append(len(hub))
                 m.append(len(other))
+                near = len(common) * 10 >= NEAR * max(len(hub), len(other))
+                missing.append(np.delete(np.arange(len(hub), dtype=np.int32), at) if near else None)
+                extra.append(np.delete(other, its).view(np.int64) if near else None)
             yield pa.RecordBatch.from_arrays(
-                [a, b, pa.array(overlap, pa.int64()), pa.array(n, pa.int64()), pa.array(m, pa.int64())],
-                ["a", "b", "overlap", "n", "m"])
+                [a, b, pa.array(overlap, pa.int64()), pa.array(n, pa.int64()), pa.array(m, pa.int64()),
+                 pa.array(missing, pa.list_(pa.int32())), pa.array(extra, pa.list_(pa.int64()))],
+                ["a", "b", "overlap", "n", "m", "missing", "extra"])
 
     both = pairs.join(texts.select(F.col("set").alias("b"), F.col("text").alias("y")), "b").join(
         texts.select(F.col("set").alias("a"), F.col("text").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInArrow(
-        run, "a binary, b binary, overlap long, n long, m long").withColumn(
+        run, "a binary, b binary, overlap long, n long, m long, missing array<int>, extra array<long>").withColumn(
         "linked", F.col("overlap") * OF >= (F.col("n") + F.col("m") - F.col("overlap")) * LINK)
 
 
+def hub_members(compared: DataFrame) -> DataFrame:
+    """Every set that is similar to a hub, with one hub: of several the one with most such sets."""
+    near = compared.where(F.col("missing").isNotNull())
+    popular = near.groupBy("a").agg(F.count("*").alias("members"))
+    own = near.groupBy("a").agg(F.first("n").alias("size")).select(
+        "a", F.col("a").alias("set"), "size", F.col("size").alias("n"),
+        F.array().cast("array<int>").alias("missing"), F.array().cast("array<long>").alias("extra"))
+    every = near.select("a", F.col("b").alias("set"), F.col("n").alias("size"), F.col("m").alias("n"), "missing", "extra")
+    ranked = every.unionByName(own).join(popular, "a").groupBy("set").agg(
+        F.max_by(F.struct("a", "size", "n", "missing", "extra"), F.struct("members", "a")).alias("h"))
+    return ranked.select("set", F.col("h.a").alias("hub"), "h.size", "h.n", "h.missing", "h.extra")
+
+
+def member_links(members: DataFrame) -> DataFrame:
+    """Links between members of one hub that lie in different components, one per pair of components.
+
+    The overlap of two members follows from their differences to the hub:
+    |x & y| = |h| - |missing of x or y| + |extra of x and y|, for blocks of members by matrix products.
+    Hubs with many members are dealt out in pairs of blocks.
+    """
+    mixed = members.groupBy("hub").agg(
+        F.count("*").alias("count"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    blocks = F.ceil(F.col("count") / MEMBERS).cast("int")
+    block = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    dealt = members.join(mixed.select("hub", blocks.alias("blocks")), "hub").withColumn("own", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+
+    def linked(rows):
+        n = np.array([r["n"] for r in rows])
+        lacking = np.zeros((len(rows), rows[0]["size"]), np.float32)
+        for line, r in zip(lacking, rows, strict=True):
+            line[r["missing"]] = 1
+        extra = np.concatenate([np.array(r["extra"], np.int64) for r in rows])
+        owner = np.repeat(np.arange(len(rows)), [len(r["extra"]) for r in rows])
+        values, slot, times = np.unique(extra, return_inverse=True, return_counts=True)
+        shared = times[slot] > 1
+        names, slot = np.unique(slot[shared], return_inverse=True)
+        having = np.zeros((len(rows), len(names)), np.float32)
+        having[owner[shared], slot] = 1
+        lacks = lacking.sum(1)
+        either = lacks[:, None] + lacks - lacking @ lacking.T
+        overlap = np.rint(rows[0]["size"] - either + having @ having.T).astype(np.int64)
+        root = np.unique([r["root"] for r in rows], return_inverse=True)[1]
+        hit = (overlap * OF >= (n[:, None] + n - overlap) * LINK) & (root[:, None] < root)
+        x, y = np.nonzero(hit)
+        first = np.unique(root[x] * (root.max() + 1) + root[y], return_index=True)[1]
+        return [(rows[a]["set"], rows[b]["set"]) for a, b in zip(x[first], y[first], strict=True)]
+
+    def run(batches):
+        held: list[dict] = []
+        for batch in slices(batches):
+            for row in batch.to_pylist():
+                if held and any(row[c] != held[0][c] for c in ("hub", "i", "j")):
+                    if links := linked(held):
+                        yield _pair_batch(links)
+                    held = []
+                held.append(row)
+        if held and (links := linked(held)):
+            yield _pair_batch(links)
+
+    unit = ["hub", "i", "j"]
+    return dealt.select(*unit, "set", "root", "size", "n", "missing", "extra").repartition(
+        *unit).sortWithinPartitions(*unit).mapInArrow(run, _PAIR)
+
+
 def _texts_of(df: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
     """One text for every set in ``pairs``."""
     sets = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
@@ -309,14 +382,15 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     pairs = stage(hub_pairs(lists), "jaccard-pairs")
     first = _compared(df, classes, pairs, key, text)
     linked = first.where("linked").select("a", "b")
-    # Every compared set with its best hub and the exact overlap; a hub overlaps itself in full.
-    seen = first.select(F.col("b").alias("set"), "overlap", F.col("a").alias("hub")).unionByName(
-        first.select(F.col("a").alias("set"), F.col("n").alias("overlap"), F.col("a").alias("hub")))
-    hubs = seen.groupBy("set").agg(F.max(F.struct("overlap", "hub")).alias("h")).select("set", "h.hub", "h.overlap")
-    roots = hubs.join(components(linked).withColumnRenamed("node", "set"), "set", "left")
+    members = stage(hub_members(first), "jaccard-members")
+    roots = components(linked).withColumnRenamed("node", "set")
+    members = stage(members.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")), "jaccard-members")
+    derived = member_links(members)
+    known = members.select("set", "root", "hub").unionByName(
+        roots.join(members, "set", "left_anti").withColumn("hub", F.lit(None).cast("binary")))
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(cross_pairs(lists, stage(roots, "jaccard-roots")).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = _compared(df, classes, rest, key, text).where("linked").select("a", "b")
+    rest = stage(cross_pairs(lists, known).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+    more = _compared(df, classes, rest, key, text).where("linked").select("a", "b").unionByName(derived)
     whole = components(linked.unionByName(more)).withColumnRenamed("node", "set").join(classes, "set")
     named = whole.groupBy("root").agg(F.min("doc_id").alias("component"))
     of_set = whole.select("set", "root").join(named, "root").select("set", "component")
