@@ -71,3 +71,8 @@ def slices(batches, rows: int = 512):
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let as _let
+
 BLOCK = 128
 CONTEXT_CHARS = 40
 
@@ -107,11 +109,6 @@ def _confirmed(kind: Kind, m: Column) -> Column:
     return F.lit(True)
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _located(items: Column) -> Column:
     """Items (gap before, length, ...) with their start position, summed block by block."""
     width = lambda a, x: a + x["gap"] + x["len"]

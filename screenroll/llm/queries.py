@@ -12,6 +12,7 @@ from .common import read, ship
 from .decontaminate import find_leaks
 from .jaccard import jaccard_sql, join_components
 from .oracle_pii import pii_sql
+from .licenses import report as license_report
 from .pii import report as pii_report
 from .quality import report as quality_report
 from .substrings import report as substring_report
@@ -42,6 +43,7 @@ BPE = {"rank_path": RANKS, "pattern": public_tokenizers.PATTERN}
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_pii": (_over(pii_report, "documents"), pii_sql()),
     "op2_warc": (_over(warc_report, "pages"), warc_sql()),
+    "op3_licenses": (_over(license_report, "documents"), None),
     "op4_toxicity": (_over(toxicity_report, "documents", "labels"), None),
     "op5_decontamination": (_over(find_leaks, "documents", "benchmark"), None),
     "op6_bpe": (_over(bpe_report, "documents", **BPE), None),
