@@ -47,16 +47,16 @@ VIEWS = {
             else cast(month(o_orderdate) as string) end BirthMonth,
           case when o_orderkey%11=0 then '' when o_orderkey%10=0 then '31'
             else cast(day(o_orderdate) as string) end BirthDay
-        from {orders} where o_orderkey%2=0""",
+        from {orders}""",
     "ident": """
         select 'C'||cast(o_custkey as string) EntityGUID,
-          case when l_partkey%4=0 then 'National Id - '||l_linestatus
+          case when o_custkey%3<>1 and l_partkey%4=0 then 'National Id - '||l_linestatus
             when l_returnflag='A' then 'Passport' when l_returnflag='N' then 'Driving Licence'
             else 'Tax No' end IdentificationTypeDesc,
           case when l_suppkey%10=0 then null
             else 'ID'||cast(1000000+l_partkey as string)||'-'||cast(l_orderkey as string) end
             IdentificationNumber
-        from {lineitem} join {orders} on l_orderkey=o_orderkey where l_linenumber=1""",
+        from {lineitem} join {orders} on l_orderkey=o_orderkey""",
     "remark": """
         select 'C'||cast(doc_id-doc_id%4 as string) EntityGUID,
           case when doc_id%92<4 then '' when doc_id%29=0 then null else text end Remark
@@ -68,22 +68,24 @@ VIEWS = {
         union all
         select 'C'||cast(page_id-page_id%3 as string), url from {pages} where page_id%4=3""",
     "enf": """
-        select 'C'||cast(o_custkey as string) EntityGUID,
-          case when o_orderkey%50=4 then 'PEP' else 'ENF-'||o_orderpriority end SourceName
-        from {orders} where o_orderkey%25=4""",
+        select 'C'||cast(p_partkey-p_partkey%2 as string) EntityGUID,
+          case when p_partkey%10=4 then 'PEP' else 'ENF-'||p_brand end SourceName
+        from {part}""",
     "san": """
-        select 'C'||cast(o_custkey as string) EntityGUID,
-          case when o_orderkey%50=7 then null else 'SAN-'||o_orderpriority end SourceName
-        from {orders} where o_orderkey%25=7""",
+        select 'C'||cast(s_suppkey*3 as string) EntityGUID,
+          case when s_suppkey%2=1 then null else 'SAN-'||s_name end SourceName
+        from {supplier}""",
     "alias": """
         select 'C'||cast(o_custkey as string) EntityGUID,
           'A'||cast(o_orderkey as string) EntityAliasGUID,
-          case when o_orderkey%6=0 then 'Acronym' when o_orderkey%15=0 then null else 'AKA' end
+          case o_orderkey%12 when 0 then 'Acronym' when 1 then 'Call Sign'
+            when 2 then 'Chinese Commercial Code (CCC)' when 3 then 'Native Script For Alias'
+            when 4 then 'Native Script For Entity' when 5 then null when 6 then 'Maiden Name' else 'AKA' end
             AliasTypeDesc,
           'Alias '||cast(o_orderkey as string) Name,
           case when o_orderkey%9=0 then null else 'AF' end FirstName,
           cast(null as string) MiddleName, 'AL'||cast(o_orderkey as string) LastName
-        from {orders} where o_orderkey%3=0""",
+        from {orders}""",
 }
 
 FEED_NAMES = {
@@ -93,7 +95,7 @@ FEED_NAMES = {
     "EntitySanction": "san", "EntityAlias": "alias",
 }
 
-BASE = ["nation", "customer", "orders", "lineitem", "documents", "pages"]
+BASE = ["nation", "customer", "orders", "lineitem", "part", "supplier", "documents", "pages"]
 
 
 def view_sql(name: str) -> str:

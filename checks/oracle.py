@@ -13,6 +13,14 @@ from .fixtures import VIEWS, view_sql
 RUN_TS = "2024-05-17 08:30:00"
 VERSION = "7"
 
+# Alias types that give no list row.
+EXCLUDED = ", ".join(f"'{t}'" for t in (
+    "Acronym",
+    "Call Sign",
+    "Chinese Commercial Code (CCC)",
+    "Native Script For Alias",
+    "Native Script For Entity"))
+
 IDS = [f"{c}{i}" for i in range(1, 6) for c in ("IdOtherInfo", "IdNo")]
 ATTRIBUTES = (
     "ReferenceID, EntityType, Gender, FirstName, LastName, SecondName, Title, DOB, ALTDOB1, ALTDOB2, "
@@ -37,8 +45,8 @@ def _list_row(first: str, last: str, second: str, alias_id: str, alias: str) ->
         "NationalIDInfo, NationalIDNo, " + ", ".join(IDS) + ", p.EntityGUID, Nationality, POB"
     )
     return f"""{kept},
-      case EntityType when 'Vessel' then '4' when 'Organization' then '9' when 'Country' then '1'
-        when 'Individual' then '3' else '6' end EntityType,
+      case EntityType when 'Individual' then '3' when 'Country' then '1' when 'Organization' then '9'
+        when 'Vessel' then '4' else '6' end EntityType,
       {_cut('Gender', 7)} Gender, {first} FirstName, {last} LastName, {second} SecondName,
       {_cut('p.Title', 255)} Title, {_cut('AddressLine1', 200)} AddressLine1,
       {_cut('AddressLine2', 200)} AddressLine2, {_cut('Citizenship', 70)} Citizenship,
@@ -55,7 +63,7 @@ STEPS = {
     "address_sized": """select EntityGUID, Address1, Address2, City, ISOStandard,
         coalesce(length(rtrim(Address1)),0)+coalesce(length(rtrim(Address2)),0)
           +coalesce(length(rtrim(City)),0)+coalesce(length(rtrim(ISOStandard)),0) chars
-      from address where AddressTypeDesc in ('Residence','Mailing')""",
+      from address where AddressTypeDesc<>'Place Of Birth'""",
     "address_best": """select EntityGUID, Address1, Address2, City, ISOStandard from address_sized
       where (EntityGUID, chars) in (select EntityGUID, max(chars) from address_sized group by 1)""",
     "address_new": """select b.EntityGUID, b.Address1 AddressLine1, b.Address2 AddressLine2, b.City,
@@ -119,14 +127,14 @@ STEPS = {
     "wide": f"""select e.EntityGUID, e.EntityID ReferenceID, e.EntityTypeDesc EntityType, e.Gender,
         coalesce(e.FirstName,'')||' '||coalesce(e.MiddleName,'') FirstName, e.LastName,
         e.Name SecondName, e.Title, DOB, ALTDOB1, ALTDOB2, ALTDOB3, AddressLine1, AddressLine2, City,
-        Country, POB, coalesce(f.SourceName, g.SourceName) source, SourceURI OriginalSource, Remark,
+        Country, POB, coalesce(enforcement.SourceName, sanction.SourceName) source, SourceURI OriginalSource, Remark,
         IdentificationTypeDesc NationalIDInfo, IdentificationNumber NationalIDNo,
         {", ".join(IDS)}, Nationality, Citizenship, pep.EntityGUID is not null exposed
-      from kept_entity e left join san g using (EntityGUID) left join enf f using (EntityGUID)
-      left join citizenship_new using (EntityGUID) left join nat using (EntityGUID)
-      left join address_new using (EntityGUID) left join dob_new using (EntityGUID)
-      left join ident_new using (EntityGUID) left join national_new using (EntityGUID)
-      left join src_new using (EntityGUID) left join remark_new using (EntityGUID)
+      from kept_entity e left join nat using (EntityGUID) left join citizenship_new using (EntityGUID)
+      left join dob_new using (EntityGUID) left join address_new using (EntityGUID)
+      left join enf enforcement using (EntityGUID) left join san sanction using (EntityGUID)
+      left join src_new using (EntityGUID) left join remark_null using (EntityGUID)
+      left join national_null using (EntityGUID) left join ident_new using (EntityGUID)
       left join pep using (EntityGUID)""",
     "nonpep_rows": f"""select EntityGUID, {ATTRIBUTES} from (
         select *, left(source,50) WLType from wide where not exposed or source<>'PEP')""",
@@ -139,7 +147,8 @@ STEPS = {
     "alias_rows": "select " + _list_row(
         _cut("coalesce(a.FirstName,'')||' '||coalesce(a.MiddleName,'')", 300),
         _cut("a.LastName", 255), _cut("a.Name", 500), "a.EntityAliasGUID", _cut("a.Name", 500))
-      + " from consolidated p join alias a on a.EntityGUID=p.EntityGUID and a.AliasTypeDesc='AKA'",
+      + " from consolidated p join alias a on a.EntityGUID=p.EntityGUID "
+        f"and a.AliasTypeDesc not in ({EXCLUDED})",
     "published": "select * from base_rows union all select * from alias_rows",
     "master_rows": f"""select ReferenceID, WLType, FileName, VersionID,
         cast(EntityType as decimal(2,0)) EntityType, cast(null as varchar) Source, OriginalSource,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -17,6 +16,7 @@ from screenroll.operators import (
     publish, publish_alias, publish_base, run_summary, slot_pivot,
 )
 from screenroll.plans.build import build_watchlist
+from screenroll.plans.shared import shared_folder
 from screenroll.schemas import KEY
 from screenroll.sources import load_audit, read_feed
 
@@ -40,9 +40,8 @@ def _watchlist(spark: SparkSession, d: str, **options) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder, or a temporary one if none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return f"{root}/{uuid.uuid4().hex}"
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def _feed_file(spark: SparkSession, d: str) -> str:

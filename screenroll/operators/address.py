@@ -98,11 +98,10 @@ def format_address(
     birth place only has no row.
     """
     places = birth_places(address, overlong)
-    heavy = heavy_keys(
-        {HUB: address.where(F.col("AddressTypeDesc") != BIRTH_PLACE), "birth_place": places}, policy
-    )
+    sources = {HUB: address.where(F.col("AddressTypeDesc") != BIRTH_PLACE), "birth_place": places}
+    heavy = heavy_keys(sources, policy)
     best = address_rows(address, country, ties, overlong, list(heavy.get(HUB, [])))
-    splits = split_counts({HUB: best, "birth_place": places}, heavy, policy)
+    splits = split_counts({HUB: best, "birth_place": places}, policy, sources=sources)
     return star_join(best, [Satellite("birth_place", places)], splits).select(
         KEY, "AddressLine1", "AddressLine2", "City", "CountryCode", "POB", "Country"
     )

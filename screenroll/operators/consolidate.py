@@ -47,13 +47,40 @@ def consolidate(
     if not dedup:
         rows = joined_attributes(tables, row_limit, False, policy, **options)
         return with_list_type(rows).select(*PROFILE_COLUMNS)
-    # Joined rows are already partitioned by entity, so they need no further
-    # shuffle; the rows without an id have their own, small one.
+    profiles, anonymous = distinct_profiles(tables, row_limit, policy, **options)
+    return profiles.unionByName(anonymous)
+
+
+def distinct_profiles(
+    tables: dict[str, DataFrame],
+    row_limit: int | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Each profile once: those of entities with an id, and the others.
+
+    Joined rows are already partitioned by entity, so they need no further
+    shuffle; the rows without an id have their own, small one.
+    """
     joined = joined_attributes(tables, row_limit, True, policy, anonymous=False, **options)
     profiles = with_list_type(joined).select(*PROFILE_COLUMNS).distinct()
-    return profiles.unionByName(
-        _entities(tables["Entity"], row_limit, False).distinct(), allowMissingColumns=True
-    ).select(*PROFILE_COLUMNS)
+    others = _entities(tables["Entity"], row_limit, False).distinct()
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in profiles.schema if f.name not in others.columns]
+    return profiles, others.select("*", *empty).select(*PROFILE_COLUMNS)
+
+
+def many_inputs(tables: dict[str, DataFrame], row_limit: int | None = None) -> dict[str, DataFrame]:
+    """The inputs of the star join that can repeat within an entity, as they are stored."""
+    address, assoc = tables["EntityAddress"], tables["EntityCountryAssociation"]
+    entity = tables["Entity"] if row_limit is None else entity_row_limit(tables["Entity"], row_limit)
+    return {
+        HUB: entity,
+        "nationality": assoc.where(F.col("AssociationTypeDesc") == "Nationality"),
+        "enforcement": tables["EntityEnforcement"],
+        "sanction": tables["EntitySanction"],
+        "address": address.where(F.col("AddressTypeDesc") != BIRTH_PLACE),
+        "birth_place": address.where(F.col("AddressTypeDesc") == BIRTH_PLACE),
+    }
 
 
 def with_list_type(rows: DataFrame) -> DataFrame:
@@ -83,7 +110,7 @@ def joined_attributes(
     overlong: str = "error",
     order: str = "text",
     null_parts: str = "null",
-    null_if_single: bool = False,
+    null_if_single: bool = True,
 ) -> DataFrame:
     """The star join behind the profiles, before the list type is known.
 
@@ -97,14 +124,7 @@ def joined_attributes(
     address, assoc = tables["EntityAddress"], tables["EntityCountryAssociation"]
     country, ident, remark = tables["Country"], tables["EntityIdentification"], tables["EntityRemark"]
 
-    inputs = {
-        HUB: hub,
-        "nationality": assoc.where(F.col("AssociationTypeDesc") == "Nationality"),
-        "enforcement": tables["EntityEnforcement"],
-        "sanction": tables["EntitySanction"],
-        "address": address.where(F.col("AddressTypeDesc") != BIRTH_PLACE),
-        "birth_place": address.where(F.col("AddressTypeDesc") == BIRTH_PLACE),
-    }
+    inputs = many_inputs(tables, row_limit)
     if last:
         inputs[last.name] = last.rows if last.source is None else last.source
     heavy = heavy_keys({**inputs, "remark": remark}, policy)
@@ -145,7 +165,7 @@ def joined_attributes(
         ]
 
     rows = {HUB: hub, **{s.name: s.rows for s in satellites}}
-    splits = split_counts({name: rows[name] for name in inputs}, heavy, policy)
+    splits = split_counts({name: rows[name] for name in inputs}, policy, sources=inputs)
     joined = star_join(hub, satellites, splits)
     if anonymous:
         joined = joined.unionByName(

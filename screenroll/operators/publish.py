@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from datetime import datetime, timezone
 from itertools import accumulate
 
@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import encode_entity_type, fit, full_name
-from ..plans.skew import DEFAULT_POLICY, SkewPolicy, heavy_keys, split_counts
-from ..plans.star import Satellite, star_join
+from ..plans.shared import shared_folder
+from ..plans.skew import DEFAULT_POLICY, SkewPolicy, split_counts
+from ..plans.star import HUB, Satellite, star_join
 from ..schemas import EXCLUDED_ALIAS_TYPES, ID_SLOTS, KEY, WATCHLIST_COLUMNS
 
 ALIAS = "alias"
@@ -97,10 +98,16 @@ def publish_base(profiles: DataFrame, version_id: str, run_ts: str | None = None
 
 
 def publish_alias(
-    profiles: DataFrame, alias: DataFrame, version_id: str, run_ts: str | None = None
+    profiles: DataFrame,
+    alias: DataFrame,
+    version_id: str,
+    run_ts: str | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """List rows of the aliases: the profile with the alias's names, without ids."""
-    rows = profiles.join(listed_aliases(alias), KEY)
+    aliases = listed_aliases(alias)
+    splits = split_counts({HUB: profiles.select(KEY), ALIAS: aliases}, policy)
+    rows = star_join(profiles, [Satellite(ALIAS, aliases)], splits).where("_alias")
     return rows.select(*_list_columns(version_id, run_ts, F.col("_alias")))
 
 
@@ -110,11 +117,14 @@ def publish(
     version_id: str,
     run_ts: str | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
+    sources: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Base and alias rows in one pass over the profiles, without ids."""
+    """Base and alias rows in one pass over the profiles, without ids.
+
+    Heavy keys are picked by the rows of ``sources``, else of stored profiles and aliases.
+    """
     satellite = alias_satellite(alias)
-    heavy = heavy_keys({ALIAS: satellite.source}, policy)
-    splits = split_counts({ALIAS: satellite.rows}, heavy, policy)
+    splits = split_counts({HUB: profiles.select(KEY), ALIAS: satellite.rows}, policy, sources=sources)
     return list_rows(star_join(profiles, [satellite], splits), version_id, run_ts)
 
 
@@ -128,14 +138,15 @@ def assign_ids(df: DataFrame, dense: bool = False) -> DataFrame:
     """Add a unique long ``ID`` as first column.
 
     By default ids are unique but not consecutive and cost nothing. ``dense``
-    gives exactly 1..n: the rows are checkpointed, which fixes their place,
-    counted per partition, and numbered from the offset of their partition.
+    gives exactly 1..n: the rows are stored in the shared folder, which fixes
+    their place, counted per partition, and numbered from its offset.
     """
     place = F.monotonically_increasing_id()
     if not dense:
         return df.select(place.alias("ID"), "*")
-    _ensure_checkpoint_dir(df)
-    fixed = df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    fixed = df.sparkSession.read.schema(df.schema).parquet(path)
     sizes = fixed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
     counts = {r["p"]: r["n"] for r in sizes.collect()}
     parts = sorted(counts)
@@ -152,10 +163,3 @@ def assign_ids(df: DataFrame, dense: bool = False) -> DataFrame:
         .select((F.col("_first") + in_partition + 1).alias("ID"), *df.columns)
     )
 
-
-def _ensure_checkpoint_dir(df: DataFrame) -> None:
-    """Use the cluster's shared checkpoint folder; a temporary one only if none is set."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-        spark.sparkContext.setCheckpointDir(folder)

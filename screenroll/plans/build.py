@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.consolidate import consolidate, joined_attributes, with_list_type
-from ..operators.publish import alias_satellite, assign_ids, list_rows, publish
+from ..operators.consolidate import distinct_profiles, joined_attributes, many_inputs, with_list_type
+from ..operators.publish import ALIAS, alias_satellite, assign_ids, list_rows, publish, publish_base
 from ..operators.views import run_summary
+from ..schemas import KEY
 from .skew import DEFAULT_POLICY, SkewPolicy
 
+SUMMARIES = "summaries"
+
 
 def build_watchlist(
     tables: dict[str, DataFrame],
@@ -26,8 +29,10 @@ def build_watchlist(
     """
     alias = tables["EntityAlias"]
     if dedup:
-        profiles = consolidate(tables, row_limit, True, policy, **options)
-        return publish(profiles, alias, version_id, run_ts, policy)
+        profiles, anonymous = distinct_profiles(tables, row_limit, policy, **options)
+        sources = many_inputs(tables, row_limit) | {ALIAS: alias}
+        listed = publish(profiles, alias, version_id, run_ts, policy, sources)
+        return listed.unionByName(publish_base(anonymous, version_id, run_ts))
     rows = joined_attributes(
         tables, row_limit, False, policy, last=alias_satellite(alias), **options
     )
@@ -37,11 +42,12 @@ def build_watchlist(
 def write_watchlist(watchlist: DataFrame, root: str, version_id: str, dense_ids: bool = False) -> str:
     """Store a new version beside the older ones; readers switch when it is complete.
 
-    Rows leave the joins in entity order within each file, so row groups can be
-    skipped by entity. An existing version is never overwritten.
+    Each file is sorted by entity and alias, so row groups can be skipped by them.
+    An existing version is never overwritten.
     """
     path = f"{root}/version={version_id}"
-    assign_ids(watchlist, dense_ids).write.mode("errorifexists").option(
+    ordered = assign_ids(watchlist, dense_ids).sortWithinPartitions(KEY, "EntityAliasGUID")
+    ordered.write.mode("errorifexists").option(
         "compression", "zstd"
     ).parquet(path)
     return path
@@ -76,8 +82,12 @@ def run(
     dense_ids: bool = False,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Build, store and summarise one version; returns the stored list and the summary."""
+    """Build and store one version and its summary; returns both as stored."""
     watchlist = build_watchlist(tables, version_id, run_ts, **options)
     write_watchlist(watchlist, root, version_id, dense_ids)
-    stored = read_watchlist(watchlist.sparkSession, root, version_id)
-    return stored, run_summary(stored, run_ts)
+    spark = watchlist.sparkSession
+    stored = read_watchlist(spark, root, version_id)
+    path = f"{root}/{SUMMARIES}/version={version_id}"
+    summary = run_summary(stored, run_ts)
+    summary.coalesce(1).write.mode("errorifexists").parquet(path)
+    return stored, spark.read.schema(summary.schema).parquet(path)

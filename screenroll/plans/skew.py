@@ -1,4 +1,4 @@
-"""Finding keys that hold too many rows for one task.
+"""Finding keys that hold too many rows, or give too many, for one task.
 
 Nothing here changes a result: the operators give the same rows whatever the
 list of heavy keys is. It only decides which keys get the spread-out plan.
@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,90 +18,84 @@ from ..schemas import KEY
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as heavy, and how far it is spread.
-
-    ``min_bytes`` is a size check taken from the plan, without a job: a table
-    below it is small enough for one task, so no key of it can be heavy.
-    ``tracked`` counters find every key holding more than about
-    1 / (0.75 * tracked) of a table; at most ``max_keys`` of them are returned,
-    which covers every key with more than 1 / max_keys of the rows.
-    """
+    """``rows_per_task``: rows, read or made, beyond which a key is spread over tasks."""
 
     rows_per_task: int = 2_000_000
-    min_bytes: int = 8 << 30
-    max_keys: int = 500
-    tracked: int = 4096
-    max_splits: int = 2000
 
 
 DEFAULT_POLICY = SkewPolicy()
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame (file size scaled to the columns read)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def heavy_keys(
-    frames: dict[str, DataFrame], policy: SkewPolicy = DEFAULT_POLICY, key: str = KEY
-) -> dict[str, dict[str, int]]:
-    """Heavy keys of each frame with about their rows, in one pass over the key columns.
+def _counts(frames: dict[str, DataFrame], key: str) -> DataFrame:
+    """Exact rows of every key in each frame: one column per frame, one row per key.
 
-    Each task keeps a bounded frequency sketch, so no key is shuffled and one
-    row per frame reaches the driver.
+    Rows are added up in each task first, so a hot key sends one row per task and frame.
     """
-    large = {n: df for n, df in frames.items() if planned_bytes(df) >= policy.min_bytes}
-    if not large:
-        return {}
     keys = reduce(
         DataFrame.unionByName,
         [
-            df.where(F.col(key).isNotNull()).select(
-                F.lit(name).alias("frame"), F.col(key).cast("string").alias("k")
-            )
-            for name, df in large.items()
+            df.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("k"), F.lit(i).alias("f"))
+            for i, df in enumerate(frames.values())
         ],
     )
-    sketch = keys.groupBy("frame").agg(
-        F.expr(f"approx_top_k(k, {policy.max_keys}, {policy.tracked})").alias("top")
+    return keys.groupBy("k").agg(
+        *[F.count(F.when(F.col("f") == i, 1)).alias(f"n{i}") for i in range(len(frames))]
     )
-    found = {
-        row["frame"]: {t["item"]: t["count"] for t in row["top"] if t["count"] > policy.rows_per_task}
-        for row in sketch.collect()
-    }
-    return {frame: dict(sorted(keys.items())) for frame, keys in found.items() if keys}
+
+
+def heavy_keys(
+    frames: dict[str, DataFrame], policy: SkewPolicy = DEFAULT_POLICY, key: str = KEY
+) -> dict[str, dict[str, int]]:
+    """Keys of each frame with more rows than a task should have, counted exactly, in one pass.
+
+    At most rows / rows_per_task keys of a frame can be heavy, which bounds what reaches the driver.
+    """
+    numbers = range(len(frames))
+    some = reduce(lambda a, b: a | b, [F.col(f"n{i}") > policy.rows_per_task for i in numbers])
+    found: dict[str, dict[str, int]] = {}
+    for row in _counts(frames, key).where(some).orderBy("k").collect():
+        for i, name in enumerate(frames):
+            if row[f"n{i}"] > policy.rows_per_task:
+                found.setdefault(name, {})[row["k"]] = row[f"n{i}"]
+    return found
+
+
+def _weight(n: int):
+    """Rows that a join of ``n`` frames has for a key, at least those that come in."""
+    counts = [F.col(f"n{i}").cast("double") for i in range(n)]
+    product = reduce(lambda a, b: a * b, [F.greatest(c, F.lit(1.0)) for c in counts])
+    return F.greatest(product, reduce(lambda a, b: a + b, counts))
 
 
 def split_counts(
     frames: dict[str, DataFrame],
-    heavy: dict[str, dict[str, int]],
     policy: SkewPolicy = DEFAULT_POLICY,
     key: str = KEY,
+    sources: dict[str, DataFrame] | None = None,
 ) -> dict[str, dict[str, int]]:
-    """For each heavy key, the frame to spread and into how many parts.
+    """For each key whose join gives too many rows, the frame to divide and into how many parts.
 
-    Counts the keys found heavy exactly, on the rows that are joined (at most
-    ``max_keys`` rows per frame come back), and picks the frame in which a key
-    has most rows.
+    The join of a key has as many rows as the product of its rows in all frames. Keys are picked by
+    that product over ``sources``, tables that are cheap to count and give no fewer rows; then
+    counted exactly on the frames. The frame with most rows of a key is divided, into at most as
+    many parts as it has rows.
     """
-    candidates = sorted({k for name in frames for k in heavy.get(name, {})})
-    if not candidates:
-        return {}
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            df.where(F.col(key).isin(candidates))
-            .groupBy(F.col(key).cast("string").alias("k"))
-            .agg(F.count("*").alias("n"))
-            .select(F.lit(name).alias("frame"), "k", "n")
-            for name, df in frames.items()
-        ],
-    ).where(F.col("n") > policy.rows_per_task)
-    largest: dict[str, tuple[int, str]] = {}
-    for row in counts.collect():
-        largest[row["k"]] = max(largest.get(row["k"], (0, "")), (row["n"], row["frame"]))
+    if sources:
+        heavy = _counts(sources, key).where(_weight(len(sources)) > policy.rows_per_task)
+        picked = [r[0] for r in heavy.select("k").collect()]
+        if not picked:
+            return {}
+        # Sent or shuffled by Spark, as its size allows.
+        spark = next(iter(frames.values())).sparkSession
+        chosen = spark.createDataFrame(pa.table({"_picked": pa.array(picked, pa.string())}))
+        frames = {
+            n: df.join(chosen, F.col(key).cast("string") == F.col("_picked"), "left_semi") for n, df in frames.items()
+        }
     splits: dict[str, dict[str, int]] = {}
-    for k, (n, frame) in sorted(largest.items()):
-        parts = min(-(-n // policy.rows_per_task), policy.max_splits)
-        splits.setdefault(frame, {})[k] = parts
+    heavy = _counts(frames, key).withColumn("weight", _weight(len(frames)))
+    for row in heavy.where(F.col("weight") > policy.rows_per_task).orderBy("k").collect():
+        rows, name = max((row[f"n{i}"], name) for i, name in enumerate(frames))
+        parts = min(-(-int(row["weight"]) // policy.rows_per_task), rows)
+        if parts > 1:
+            splits.setdefault(name, {})[row["k"]] = parts
     return splits

@@ -69,14 +69,15 @@ def test_attributes_multiply(small_feed, rows_of):
 
 
 def two_branches(tables):
-    """The profiles the long way: one query per branch over separate joins."""
+    """The profiles the long way: one query per branch, each over joins of its own."""
     from screenroll.operators.consolidate import joined_attributes
 
     rows = joined_attributes(tables)
     exposed = F.col("_exposed").isNotNull()
     listed = rows.where(~exposed | (F.col("_source").isNotNull() & (F.col("_source") != "PEP")))
     listed = listed.withColumn("WLType", F.substring("_source", 1, 50))
-    pep = rows.where(exposed).withColumn("WLType", F.lit("PEP"))
+    again = joined_attributes({name: df.select("*") for name, df in tables.items()})
+    pep = again.where(exposed).withColumn("WLType", F.lit("PEP"))
     return listed.select(*PROFILE_COLUMNS).unionByName(pep.select(*PROFILE_COLUMNS))
 
 
@@ -128,26 +129,43 @@ def quick_small_plans(spark):
 
 def test_spread_plan_gives_the_same_list(spark):
     tables = feed(spark, SF)
-    policy = SkewPolicy(rows_per_task=3, min_bytes=0)
+    policy = SkewPolicy(rows_per_task=3)
     plain = spark_bag(build_watchlist(tables, "7", TS))
     assert spark_bag(build_watchlist(tables, "7", TS, policy=policy)) == plain
 
 
 def test_spread_dedup(spark):
     tables = feed(spark, SF)
-    policy = SkewPolicy(rows_per_task=2, min_bytes=0)
+    policy = SkewPolicy(rows_per_task=2)
     assert spark_bag(consolidate(tables, dedup=True, policy=policy)) == spark_bag(
         consolidate(tables, dedup=True))
 
 
-def test_heavy_keys_are_found_only_in_large_tables(spark):
+def test_heavy_keys_are_counted_whatever_the_size(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(KEY))
     assert heavy_keys({"t": df}) == {}
-    policy = SkewPolicy(rows_per_task=100, min_bytes=0)
+    policy = SkewPolicy(rows_per_task=100)
     assert heavy_keys({"t": df}, policy) == {"t": {"hot": 334}}
-    assert split_counts({"t": df}, {"t": {"hot": 334}}, policy) == {"t": {"hot": 4}}
-    assert split_counts({"t": df.where("id < 100")}, {"t": {"hot": 334}}, policy) == {}
+    assert split_counts({"t": df}, policy) == {"t": {"hot": 4}}
+    assert split_counts({"t": df.where("id < 100")}, policy, sources={"t": df}) == {}
+
+
+def test_one_key_in_a_tiny_file_is_split(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    spark.range(3_000_000).select(F.lit("hot").alias(KEY)).write.parquet(path)
+    assert split_counts({"t": spark.read.parquet(path)}) == {"t": {"hot": 2}}
+
+
+def test_products_of_a_key_are_split(spark):
+    rows = spark.range(900).select(F.lit("hot").alias(KEY))
+    assert split_counts({"a": rows, "b": rows}, SkewPolicy(rows_per_task=1000)) == {"b": {"hot": 810}}
+
+
+def test_all_heavy_keys_are_split(spark):
+    rows = spark.range(20_000).select((F.col("id") % 20).cast("string").alias(KEY))
+    found = split_counts({"t": rows}, SkewPolicy(rows_per_task=500))
+    assert found == {"t": {str(k): 2 for k in range(20)}}
 
 
 @pytest.mark.parametrize("spread", [
