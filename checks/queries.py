@@ -18,7 +18,7 @@ from screenroll.operators import (
 from screenroll.plans.build import build_watchlist
 from screenroll.plans.shared import shared_folder
 from screenroll.schemas import KEY
-from screenroll.sources import load_audit, read_feed
+from screenroll.sources import load_audit, read_feed, stage_feed
 
 from .fixtures import FEED_NAMES, feed, view, view_sql
 from .oracle import RUN_TS, VERSION, answer
@@ -93,6 +93,22 @@ def _read_bad(spark: SparkSession, d: str) -> DataFrame:
     return bad.groupBy("Table", "Reason").agg(F.count("*").alias("Rows"))
 
 
+FEED_COUNTS_SQL = """
+    select 'EntityAddress' TableName, count(*) filter (where not bad) "Rows",
+      count(*) filter (where bad) BadRows
+    from (select o_orderkey%97=0 or o_orderkey%101=0 bad from orders)"""
+
+
+def _staged_audit(spark: SparkSession, d: str) -> DataFrame:
+    source, target = _feed_file(spark, d), _scratch(spark)
+    return stage_feed(spark, source, target, ["EntityAddress"], max_errors=1 << 60)[1]
+
+
+def _audit_with_bad_rows(spark: SparkSession, d: str) -> DataFrame:
+    good, bad = read_feed(spark, _feed_file(spark, d), "EntityAddress", max_errors=None)
+    return load_audit({"EntityAddress": good}, {"EntityAddress": bad})
+
+
 def _text_functions(spark: SparkSession, d: str) -> DataFrame:
     remark = view(spark, d, "remark")
     return remark.select(
@@ -121,6 +137,8 @@ _LIMITED = {"kept_entity": "select * from entity order by EntityGUID limit 500"}
 REGISTRY: dict[str, tuple[Query, str]] = {
     "read_feed": (_read_good, FEED_GOOD_SQL),
     "read_feed_bad_rows": (_read_bad, FEED_BAD_SQL),
+    "stage_feed": (_staged_audit, FEED_COUNTS_SQL),
+    "load_audit_bad_rows": (_audit_with_bad_rows, FEED_COUNTS_SQL),
     "load_audit": (
         lambda spark, d: load_audit(feed(spark, d)),
         "with " + ", ".join(f"{v} as ({view_sql(v)})" for v in FEED_NAMES.values()) + " "
@@ -187,6 +205,15 @@ REGISTRY: dict[str, tuple[Query, str]] = {
         answer("address_one"),
     ),
     "format_address": (_over(format_address, "address", "country"), answer("address_new")),
+    "format_address_one": (
+        _over(format_address, "address", "country", ties="one"),
+        answer("address_new", {"address_best": "select * from address_one"})),
+    "format_address_truncate": (
+        lambda spark, d: format_address(
+            view(spark, d, "address").withColumn("City", F.repeat("City", 9)),
+            view(spark, d, "country"), overlong="truncate"),
+        answer("t", {"t": "select * replace (left(City, 50) as City, left(POB, 50) as POB) from address_new",
+                     "address": "select * replace (repeat(City, 9) as City) from (" + view_sql("address") + ")"})),
     "map_citizenship": (_over(map_citizenship, "assoc", "country"), answer("citizenship_new")),
     "map_nationality": (_over(map_nationality, "assoc", "country"), answer("nat")),
     "pep_entities": (_over(pep_entities, "assoc"), answer("pep")),

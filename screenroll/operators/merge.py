@@ -30,8 +30,8 @@ def merge_text(
 
     Equal texts collapse before the shuffle. Of a cut column only the texts
     that begin within the width can show, so the others are dropped before
-    they are collected: what is collected per key is bounded by the width. The
-    keys listed in ``heavy`` are pre-cut in ``salts`` groups first.
+    they are collected: what is collected per key is bounded by the width;
+    columns without a width are collected whole. The keys listed in ``heavy`` are pre-cut in ``salts`` groups first.
     """
     columns = list(widths)
     ids = {c: i for i, c in enumerate(columns)}
@@ -54,8 +54,12 @@ def merge_text(
     else:
         texts = texts.select(*group, "_text").distinct()
 
-    if all(widths.values()):
-        by_id = {ids[c]: w for c, w in widths.items()}
+    by_id = {ids[c]: w for c, w in widths.items() if w}
+    if by_id:
+        whole = None
+        if len(by_id) < len(columns):
+            cut = F.col("_col").isin(list(by_id))
+            whole, texts = texts.where(~cut), texts.where(cut)
         if heavy:
             light = texts.where(~F.col(key).isin(heavy))
             dense = texts.where(F.col(key).isin(heavy)).withColumn(
@@ -64,6 +68,8 @@ def merge_text(
             dense = _within_width(dense, [*group, "_salt"], by_id, sep).drop("_salt")
             texts = light.unionByName(dense)
         texts = _within_width(texts, group, by_id, sep)
+        if whole is not None:
+            texts = texts.unionByName(whole)
 
     def merged(column: str):
         text = F.col("_text")

@@ -7,6 +7,7 @@ folder of part files; plain text files are split among tasks.
 from __future__ import annotations
 
 import logging
+import uuid
 from functools import reduce
 
 import pyarrow as pa
@@ -59,19 +60,20 @@ def stage_feed(
     """Load the feed into Parquet under ``target``, replacing what is there.
 
     Each file is parsed once: one write stores good rows and quarantined rows
-    side by side and counts them on the way. Returns the good rows by table,
-    and the audit. Fails on the first table over its budget of bad rows.
+    side by side. All tables are written to a new folder and checked against
+    their budget of bad rows first; a load that fails leaves the old tables as
+    they were. Returns the good rows by table, and the audit.
     """
-    staged, lines = {}, []
+    loading = f"{target}/_loading-{uuid.uuid4().hex}"
+    schemas, lines = {}, []
     for table in tables or list(FEED):
         parsed = _parse(spark, folder, table)
         reason = _reason(table)
-        path = f"{target}/{table}"
+        path = f"{loading}/{table}"
         (
             parsed.withColumn("LoadReason", reason)
             .withColumn("LoadState", F.when(reason.isNull(), "good").otherwise("bad"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("LoadState").parquet(path)
+            .write.partitionBy("LoadState").parquet(path)
         )
         whole = T.StructType([*parsed.schema.fields, T.StructField("LoadReason", T.StringType()),
                               T.StructField("LoadState", T.StringType())])
@@ -83,7 +85,13 @@ def stage_feed(
         log.info("%s: %d rows, %d bad", table, good, bad)
         lines.append((table, good, bad))
         _check_budget(bad, table, max_errors)
-        staged[table] = stored.where(F.col("LoadState") == "good").select(*FEED[table])
+        schemas[table] = whole
+    _switch(spark, loading, target, list(schemas))
+    staged = {
+        table: spark.read.schema(schema).parquet(f"{target}/{table}")
+        .where(F.col("LoadState") == "good").select(*FEED[table])
+        for table, schema in schemas.items()
+    }
     names, good, bad = zip(*lines)
     audit = spark.createDataFrame(pa.table({"TableName": names, "Rows": good, "BadRows": bad}))
     return staged, audit
@@ -174,6 +182,17 @@ def _check_budget(bad: int, table: str, max_errors: int) -> None:
         raise ValueError(f"{table}: more than {max_errors} bad rows")
 
 
+def _switch(spark: SparkSession, loading: str, target: str, tables: list[str]) -> None:
+    """Put the loaded tables in the place of the old ones."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    for table in tables:
+        files.delete(path(f"{target}/{table}"), True)
+        if not files.rename(path(f"{loading}/{table}"), path(f"{target}/{table}")):
+            raise OSError(f"{table}: could not be put in place; it is in {loading}")
+    files.delete(path(loading), True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

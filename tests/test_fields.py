@@ -262,3 +262,11 @@ def test_slot_pivot_has_one_row_per_key(spark, rows, n):
     for r in got:
         best = sorted((v for k, v in rows if k == r["k"]), reverse=True)[:n]
         assert [r[f"v{i}"] for i in range(1, n + 1)] == best + [None] * (n - len(best))
+
+
+def test_a_column_without_width_leaves_the_bound_of_the_others(spark):
+    rows = spark.range(400).selectExpr("'a' k", "lpad(id, 3, '0') v", "cast(id % 3 as string) w")
+    got = merge_text(rows, "k", {"v": 10, "w": None}).collect()[0]
+    assert (got["v"], got["w"]) == ("000; 001; ", "0; 1; 2")
+    plan = merge_text(rows, "k", {"v": 10, "w": None})._jdf.queryExecution().toString()
+    assert "row_number" in plan

@@ -9,7 +9,7 @@ from checks.compare import physical_plan as plan
 from checks.fixtures import feed, view
 from screenroll.operators import (
     best_by_length, consolidate, format_address, format_birth_dates, map_nationality,
-    merge_national_ids, pivot_other_ids,
+    merge_national_ids, merge_remarks, pivot_other_ids,
 )
 from screenroll.plans.build import build_watchlist
 
@@ -31,6 +31,14 @@ def test_groups_are_limited_before_the_shuffle(spark):
         assert re.search(r"WindowGroupLimit .* Partial", plan(df))
 
 
+def test_remarks_are_limited_before_the_shuffle_at_the_suggested_setting(spark):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2000")
+    try:
+        assert re.search(r"WindowGroupLimit .* Partial", plan(merge_remarks(view(spark, SF, "remark"))))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
 def test_lookup_is_broadcast_while_small(spark):
     assoc, country = view(spark, SF, "assoc"), view(spark, SF, "country")
     text = plan(map_nationality(assoc, country))
