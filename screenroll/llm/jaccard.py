@@ -7,7 +7,8 @@ size, and blocks or entries whose sizes or positions rule a link out are skipped
 skipping: a list first compares its sets with one hub; sets that are linked to the hub are
 answered, the pairs among them need no comparison of their own. Pairs of sets that are similar to
 one hub but lie in different components are answered from their small differences to it, without
-their texts. Only pairs of different components without a common hub are compared one by one. So a
+their texts. Pairs of different components without a common hub are compared one by one, as far as
+bitmaps of the sets, which never differ more than the sets, leave a link possible. So a
 group of thousands of near copies costs comparisons in proportion to its size, and no link between
 different components is lost.
 
@@ -39,6 +40,7 @@ SAMPLE, FREQUENT, AT_LEAST = 8000, 200_000, 3
 LIST_BLOCK = 4096
 #: Sets with at least so many tenths in common count as similar; members of a hub compared at once.
 NEAR, MEMBERS = 7, 1024
+BITS = 1024
 
 
 def shingle_set(text: bytes, n: int = N) -> np.ndarray:
@@ -51,9 +53,13 @@ def shingle_set(text: bytes, n: int = N) -> np.ndarray:
     return np.unique(ngram_hashes(words, n))
 
 
-def required(a: int, b: int, link: int = LINK, of: int = OF) -> int:
-    """Least overlap with which sets of these sizes are linked."""
-    return -(-link * (a + b) // (of + link))
+def bitmap(elements: np.ndarray) -> np.ndarray:
+    """A map of BITS bits in which every element turns one over, as 64-bit numbers.
+
+    Two maps differ in no more bits than the sets differ in elements.
+    """
+    odd = np.bincount((elements >> np.uint64(24) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def prefix_length(n: int, link: int = LINK, of: int = OF) -> int:
@@ -100,19 +106,21 @@ def set_table(df: DataFrame, order: Order, key: str = "doc_id", text: str = "tex
 
     def run(batches):
         for batch in slices(batches):
-            sizes, names, firsts = [], [], []
+            sizes, names, firsts, maps = [], [], [], []
             for t in byte_texts(batch.column(text)):
                 elements = shingle_set(t)
                 n = len(elements)
                 sizes.append(n)
+                maps.append(bitmap(elements))
                 names.append(xxhash.xxh3_128_digest(elements.tobytes()) if n else None)
                 firsts.append(order.keys(elements)[:prefix_length(n)].view(np.int64) if n else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
-                 pa.array(firsts, pa.list_(pa.int64())), batch.column("text_hash")], ["doc_id", "n", "set", "first", "text_hash"])
+                 pa.array(firsts, pa.list_(pa.int64())), pa.array(maps, pa.list_(pa.int64())), batch.column("text_hash")],
+                ["doc_id", "n", "set", "first", "bits", "text_hash"])
 
     own = df.select(F.col(key).cast("long").alias(key), text, F.xxhash64(text).alias("text_hash"))
-    return own.mapInArrow(run, "doc_id long, n long, set binary, first array<long>, text_hash long")
+    return own.mapInArrow(run, "doc_id long, n long, set binary, first array<long>, bits array<long>, text_hash long")
 
 
 def _can(n, at, m, to) -> np.ndarray:
@@ -355,6 +363,21 @@ def member_links(members: DataFrame) -> DataFrame:
         *unit).sortWithinPartitions(*unit).mapInArrow(run, _PAIR)
 
 
+def plausible(pairs: DataFrame, classes: DataFrame, near: bool) -> DataFrame:
+    """The pairs that may be linked (or, with ``near``, similar) by the difference of their bitmaps."""
+    side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    total = F.col("n_a") + F.col("n_b")
+    most = (total - differ) / 2
+    if near:
+        can = most * 10 >= F.greatest("n_a", "n_b") * NEAR
+    else:
+        can = most * OF >= (total - most) * LINK
+    return stage(both.where(can).select("a", "b"), "jaccard-plausible")
+
+
 def _texts_of(df: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
     """One text for every set in ``pairs``."""
     sets = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
@@ -376,11 +399,12 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows = stage(set_table(df, Order(frequent_tokens(df, text)), key, text), "jaccard-sets")
     classes = stage(
         rows.where(F.col("set").isNotNull()).groupBy("set")
-        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("c"))
-        .select("set", "c.doc_id", "c.text_hash"), "jaccard-classes")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("c"), F.first("n").alias("n"),
+             F.first("bits").alias("bits"))
+        .select("set", "c.doc_id", "c.text_hash", "n", "bits"), "jaccard-classes")
     lists = stage(index_lists(rows), "jaccard-index")
     pairs = stage(hub_pairs(lists), "jaccard-pairs")
-    first = _compared(df, classes, pairs, key, text)
+    first = _compared(df, classes, plausible(pairs, classes, near=True), key, text)
     linked = first.where("linked").select("a", "b")
     members = stage(hub_members(first), "jaccard-members")
     roots = components(linked).withColumnRenamed("node", "set")
@@ -390,8 +414,8 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         roots.join(members, "set", "left_anti").withColumn("hub", F.lit(None).cast("binary")))
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stage(cross_pairs(lists, known).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = _compared(df, classes, rest, key, text).where("linked").select("a", "b").unionByName(derived)
-    whole = components(linked.unionByName(more)).withColumnRenamed("node", "set").join(classes, "set")
+    more = _compared(df, classes, plausible(rest, classes, near=False), key, text).where("linked").select("a", "b").unionByName(derived)
+    whole = components(linked.unionByName(more)).withColumnRenamed("node", "set").join(classes.select("set", "doc_id"), "set")
     named = whole.groupBy("root").agg(F.min("doc_id").alias("component"))
     of_set = whole.select("set", "root").join(named, "root").select("set", "component")
     of_class = classes.join(of_set, "set", "left").select("set", F.coalesce("component", "doc_id").alias("component"))

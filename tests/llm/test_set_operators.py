@@ -61,6 +61,17 @@ def test_components_equal_brute_force(documents):
     assert jaccard.join_components(documents([])).count() == 0
 
 
+def test_bitmaps_never_differ_more_than_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        a, b = (rng.integers(0, 1 << 62, rng.integers(0, 900), dtype=np.uint64) for _ in "ab")
+        a, b = np.unique(np.append(a, b[:400])), np.unique(b)
+        differ = np.unpackbits((jaccard.bitmap(a) ^ jaccard.bitmap(b)).view(np.uint8)).sum()
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_one_document_of_each_group_stays(documents):
     rows = near_copies(3)
     kept = jaccard.keep_one(documents(rows))
