@@ -16,16 +16,17 @@ def _of_type(assoc: DataFrame, kind: str) -> DataFrame:
 def map_citizenship(assoc: DataFrame, country: DataFrame) -> DataFrame:
     """Distinct citizenship codes with the last unit name of the entity, and their country.
 
-    Codes are reduced to their last name first, with a partial aggregate, so
-    an entity brings at most one row per code to the ranking.
+    Equal links are made distinct first, by hashing alone; the ranking leaves the rows where the
+    final distinct needs them.
     """
-    codes = (
+    links = (
         _of_type(assoc, "Citizenship")
-        .groupBy(KEY, "ISOStandard")
-        .agg(F.max(fit(F.col("AdministrativeUnitName"), 200)).alias("_unit"))
+        .select(KEY, "ISOStandard", fit(F.col("AdministrativeUnitName"), 200).alias("_unit"))
+        .distinct()
     )
     order = Window.partitionBy(KEY).orderBy(F.col("_unit").desc_nulls_last())
-    top = codes.withColumn("_nth", F.rank().over(order)).where(F.col("_nth") == 1)
+    ranked = links.withColumn("_nth", F.rank().over(order)).where(F.col("_nth") == 1)
+    top = ranked.select(KEY, "ISOStandard").distinct()
     return top.join(country, top["ISOStandard"] == country["tISO"], "left").select(
         KEY, "ISOStandard", fit(F.col("tCountry"), 100).alias("Citizenship")
     )

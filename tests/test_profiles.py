@@ -274,3 +274,20 @@ def test_versions_are_kept_and_switched(spark, small_feed, tmp_path):
         run(tables, root, "9", TS)
     (tmp_path / "list" / "version=11").mkdir()
     assert latest_version(spark, root) == "10"
+
+
+def test_files_are_sorted_and_the_summary_is_stored(spark, tmp_path):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    root = str(tmp_path / "list")
+    stored, summary = run(feed(spark, SF), root, "1", TS)
+    files = list(Path(root, "version=1").glob("*.parquet"))
+    assert files
+    for file in files:
+        rows = pq.read_table(file, columns=[KEY, "EntityAliasGUID"]).to_pylist()
+        order = [(r[KEY] or "", r["EntityAliasGUID"] or "") for r in rows]
+        assert order == sorted(order)
+    assert spark_bag(summary) == spark_bag(run_summary(stored, TS))
+    assert list(Path(root, "summaries", "version=1").glob("*.parquet"))
