@@ -69,6 +69,15 @@ def test_dedup_needs_no_shuffle_of_its_own(spark, no_small_tables):
     assert "Exchange" not in plan(consolidate(tables, dedup=True)).split("SortMergeJoin", 1)[0]
 
 
+def test_dedup_list_joins_aliases_without_a_shuffle_of_the_profiles(spark, no_small_tables):
+    tables = feed(spark, SF)
+    tables["Country"] = F.broadcast(tables["Country"])
+    text = plan(build_watchlist(tables, "1", "2024-01-01 00:00:00", dedup=True))
+    above, alias_join, rest = text.partition("SortMergeJoin")
+    profiles = rest.split("SortMergeJoin", 1)[0]
+    assert alias_join and "Exchange" not in above and "Exchange" not in profiles
+
+
 def test_address_join_shares_the_partitioning(spark, no_small_tables):
     text = plan(format_address(view(spark, SF, "address"), F.broadcast(view(spark, SF, "country"))))
     assert text.count("Exchange hashpartitioning") == 2
