@@ -40,6 +40,7 @@ SAMPLE, FREQUENT, AT_LEAST = 8000, 200_000, 3
 LIST_BLOCK = 4096
 #: Sets with at least so many tenths in common count as similar; members of a hub compared at once.
 NEAR, MEMBERS = 7, 1024
+#: Least width of a bitmap.
 BITS = 1024
 
 
@@ -54,11 +55,13 @@ def shingle_set(text: bytes, n: int = N) -> np.ndarray:
 
 
 def bitmap(elements: np.ndarray) -> np.ndarray:
-    """A map of BITS bits in which every element turns one over, as 64-bit numbers.
+    """A bit map in which every element turns one bit over, as 64-bit numbers.
 
-    Two maps differ in no more bits than the sets differ in elements.
+    Two maps of one width differ in no more bits than the sets differ in elements. Large sets have
+    wider maps; the halves of a map, one turned over by the other, are the map of half the width.
     """
-    odd = np.bincount((elements >> np.uint64(24) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    width = max(BITS, 1 << int(2 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements >> np.uint64(24) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -367,8 +370,17 @@ def plausible(pairs: DataFrame, classes: DataFrame, near: bool) -> DataFrame:
     """The pairs that may be linked (or, with ``near``, similar) by the difference of their bitmaps."""
     side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
+    width = F.least(F.size("bits_a"), F.size("bits_b"))
+
+    def folded(bits: str):
+        halves = F.zip_with(F.slice(bits, F.lit(1), width), F.slice(bits, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) == width, F.col(bits)).otherwise(halves)
+
     differ = F.aggregate(
-        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        F.zip_with(folded("bits_a"), folded("bits_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0), lambda n, x: n + x)
+    # Widths further apart than a fold are of sets that are not similar.
+    both = both.where(F.greatest(F.size("bits_a"), F.size("bits_b")) <= 2 * width)
     total = F.col("n_a") + F.col("n_b")
     most = (total - differ) / 2
     if near:

@@ -65,11 +65,23 @@ def test_bitmaps_never_differ_more_than_sets():
     import numpy as np
 
     rng = np.random.default_rng(3)
-    for _ in range(50):
-        a, b = (rng.integers(0, 1 << 62, rng.integers(0, 900), dtype=np.uint64) for _ in "ab")
+    for _ in range(60):
+        a, b = (rng.integers(0, 1 << 62, rng.integers(1, 2500), dtype=np.uint64) for _ in "ab")
         a, b = np.unique(np.append(a, b[:400])), np.unique(b)
-        differ = np.unpackbits((jaccard.bitmap(a) ^ jaccard.bitmap(b)).view(np.uint8)).sum()
-        assert differ <= len(np.setxor1d(a, b))
+        x, y = jaccard.bitmap(a), jaccard.bitmap(b)
+        while len(x) != len(y):
+            x, y = sorted((x, y), key=len)
+            y = y[:len(y) // 2] ^ y[len(y) // 2:]
+        assert np.unpackbits((x ^ y).view(np.uint8)).sum() <= len(np.setxor1d(a, b))
+
+
+def test_large_near_copies_of_different_map_widths_are_linked(documents):
+    """Sizes around the step from one width to the next, where maps are folded."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(560)]
+    rows = [(i, " ".join(words[:n])) for i, n in enumerate((500, 510, 520, 530, 560))] + [(9, " ".join(reversed(words)))]
+    got = jaccard.join_components(documents(rows))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_components(rows)
 
 
 def test_one_document_of_each_group_stays(documents):
