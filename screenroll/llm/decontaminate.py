@@ -1,15 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, exact bounds, then Smith-Waterman alignment of words.
 
-Test items are the query set. Their word 3-grams are looked up in every text; a first pass counts
-in how many rows each occurs, and those far more frequent than their neighbours in the item
-are no seeds (a passage that leaked a thousand times keeps its seeds, as all of them are equally
-frequent). A second pass aligns the words around the seed hits of a text with the item and
-reports the pairs whose score is at least ``THRESHOLD`` of a perfect one, so copies with words
-replaced, left out or put in are found. Case and ASCII punctuation do not matter.
+Test items are the query set. Their word 3-grams are looked up in every text. An item that shares
+one is aligned with the words around the hits, unless bounds on the score (which words of the item
+the text has, how many stand close together) show that no alignment can reach ``THRESHOLD`` of a
+perfect one. So copies with words replaced, left out or put in are found as long as three words in
+a row are unchanged, however often the copy or any of its seeds occurs: no seed is left out for
+being frequent. Case and ASCII punctuation do not matter.
 
-Both passes are narrow: texts are never shuffled, counts are aggregated per seed. Items come to
-the driver in blocks of bounded size, each block is a pass of its own, so memory does not grow
-with the benchmark.
+The pass is narrow: texts are never shuffled. Items come to the driver in blocks of bounded size,
+each block is a pass of its own, so memory does not grow with the benchmark.
 
 Defined results: NULL and empty texts or items match nothing; items without an id are left out;
 rows without an id are reported with a NULL id; repeated rows give repeated results, repeated
@@ -19,7 +18,7 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
@@ -32,7 +31,6 @@ from .tokens import ngram_hashes, word_hashes
 
 SEED_WORDS = 3
 ITEM_BLOCK = 20_000
-NEIGHBOURS, FACTOR, SLACK = 4, 8, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 _LEAK = "doc_id long, item_id long, score double, first_word int, last_word int"
@@ -68,25 +66,24 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 @dataclass
 class Items:
-    """A block of items: their words, and for every seed hash the places (item, position)."""
+    """A block of items: their words, and for every seed hash the items that have it."""
 
     ids: list[int]
     words: list[np.ndarray]
-    seeds: np.ndarray = field(init=False)
-    places: list[np.ndarray] = field(init=False)
 
     def __post_init__(self):
-        grams = [ngram_hashes(w, SEED_WORDS) for w in self.words]
+        grams = [np.unique(ngram_hashes(w, SEED_WORDS)) for w in self.words]
         every = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else owner
-        self._set(every, owner, place)
-
-    def _set(self, every, owner, place):
         order = np.argsort(every, kind="stable")
-        self.every, self.owner, self.place = every[order], owner[order], place[order]
-        self.seeds, first = np.unique(self.every, return_index=True)
+        self.owner = owner[order]
+        self.seeds, first = np.unique(every[order], return_index=True)
         self.bounds = np.append(first, len(every))
+        self.own_seeds = [np.searchsorted(self.seeds, g) for g in grams]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        flat = np.concatenate(self.words) if grams else every
+        self.vocabulary, self.numbers = np.unique(flat, return_inverse=True)
 
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in a text, and seed numbers, of the seeds that it holds."""
@@ -96,49 +93,59 @@ class Items:
         found = np.flatnonzero(self.seeds[at] == grams)
         return found, at[found]
 
-    def rare(self, counts: np.ndarray) -> Items:
-        """Only the seeds that are not far more frequent than the rarest near them in the item."""
-        number = np.searchsorted(self.seeds, self.every)
-        keep = np.zeros(len(self.every), bool)
-        order = np.lexsort((self.place, self.owner))
-        edges = np.flatnonzero(np.diff(self.owner[order], prepend=-1, append=-1))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            own = order[a:b]
-            count = counts[number[own]]
-            padded = np.pad(count, NEIGHBOURS, constant_values=np.iinfo(np.int64).max)
-            least = np.lib.stride_tricks.sliding_window_view(padded, 2 * NEIGHBOURS + 1).min(1)
-            keep[own] = count <= FACTOR * least + SLACK
-        self._set(self.every[keep], self.owner[keep], self.place[keep])
-        return self
+    def possible(self, text: np.ndarray, seeds: np.ndarray, threshold: float) -> np.ndarray:
+        """Items with one of the seeds of which the text has enough words for the threshold."""
+        seeds = np.unique(seeds)
+        items = np.unique(self.owner[_ranges(self.bounds[seeds], self.bounds[seeds + 1] - self.bounds[seeds])])
+        at = np.minimum(np.searchsorted(self.vocabulary, text), len(self.vocabulary) - 1)
+        present = np.zeros(len(self.vocabulary), np.int64)
+        present[at[self.vocabulary[at] == text]] = 1
+        sizes = self.sizes[items]
+        shared = np.add.reduceat(present[self.numbers[_ranges(self.starts[items], sizes)]], np.cumsum(sizes) - sizes)
+        return items[shared >= threshold * sizes]
 
     def leaks(self, text: np.ndarray, threshold: float):
         """(item id, score, first word, last word) of the items that leaked into a text."""
         at, seeds = self.hits(ngram_hashes(text, SEED_WORDS))
         if not len(at):
             return
-        sizes = self.bounds[seeds + 1] - self.bounds[seeds]
-        entry = np.repeat(self.bounds[seeds], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        item, origin = self.owner[entry], np.repeat(at, sizes) - self.place[entry]
-        order = np.lexsort((origin, item))
-        item, origin = item[order], origin[order]
-        lengths = np.array([len(self.words[i]) for i in item])
-        new = (np.diff(item, prepend=-1) != 0) | (np.diff(origin, prepend=0) > lengths)
-        edges = np.append(np.flatnonzero(new), len(item))
-        best: dict[int, tuple] = {}
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            number = int(item[a])
-            words = self.words[number]
-            low = max(int(origin[a]) - len(words) // 2, 0)
-            passage = text[low:int(origin[b - 1]) + len(words) + len(words) // 2]
+        for number in self.possible(text, seeds, threshold):
+            words, best = self.words[number], (0, 0, 0)
             perfect = MATCH * len(words)
-            # No alignment scores more than all item words that the passage has.
-            if MATCH * np.isin(words, passage).sum() < threshold * perfect:
-                continue
-            score, first, last = align(words, passage)
-            if score >= threshold * perfect and score / perfect > best.get(number, (0,))[0]:
-                best[number] = (score / perfect, low + first, low + last)
-        for number, found in sorted(best.items()):
-            yield (self.ids[number], *found)
+            # Every word put in costs a point, so no alignment at the threshold spans more words.
+            span = len(words) + int((1 - threshold) * perfect) + 1
+            own = at[np.isin(seeds, self.own_seeds[number])]
+            edges = np.flatnonzero(np.diff(own, prepend=-2 * span - SEED_WORDS, append=len(text) + 2 * span) > span)
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                low = max(int(own[a]) + SEED_WORDS - span, 0)
+                low, passage = _dense(words, text, low, int(own[b - 1]) + span, span, threshold)
+                # A part of the item gains its words that the passage has and loses by the others.
+                gain = np.cumsum(np.append(0, np.where(np.isin(words, passage), MATCH, -1)))
+                if (gain - np.minimum.accumulate(gain)).max() < threshold * perfect:
+                    continue
+                score, first, last = align(words, passage)
+                if score > best[0]:
+                    best = (score, low + first, low + last)
+                if score == perfect:
+                    break
+            if best[0] >= threshold * perfect:
+                yield (self.ids[number], best[0] / perfect, *best[1:])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def _dense(words: np.ndarray, text: np.ndarray, low: int, high: int, span: int, threshold: float):
+    """The part of a passage, with its start, outside of which ``span`` words hold too few of the item's."""
+    passage = text[low:high]
+    held = np.cumsum(np.append(0, np.isin(passage, words)))
+    width = min(span, len(passage))
+    good = np.flatnonzero(held[width:] - held[:len(held) - width] >= threshold * len(words))
+    if not len(good):
+        return low, passage[:0]
+    return low + int(good[0]), passage[good[0]:good[-1] + width]
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str):
@@ -151,36 +158,18 @@ def _blocks(benchmark: DataFrame, key: str, text: str):
             yield Items([i for i, _ in pairs], [w for _, w in pairs])
 
 
-def _count_seeds(df: DataFrame, items: Items, text: str) -> np.ndarray:
-    """In how many rows each seed of the block occurs."""
-
-    def run(batches):
-        counts = np.zeros(len(items.seeds), np.int64)
-        for batch in slices(batches):
-            for t in byte_texts(batch.column(0)):
-                counts[np.unique(items.hits(ngram_hashes(words_of(t), SEED_WORDS))[1])] += 1
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["seed", "n"])
-
-    out = np.zeros(len(items.seeds), np.int64)
-    for row in df.select(text).mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
-        out[row["seed"]] = row["n"]
-    return out
-
-
 def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                item_key: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``df`` and item that leaked into it: ids, score, first and last word."""
     own = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = []
     for items in _blocks(benchmark, item_key, item_text):
-        rare = items.rare(_count_seeds(own, items, "text"))
 
-        def run(batches, rare=rare):
+        def run(batches, items=items):
             for batch in slices(batches):
                 out = [[], [], [], [], []]
                 for doc, t in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True):
-                    for leak in rare.leaks(words_of(t), threshold):
+                    for leak in items.leaks(words_of(t), threshold):
                         for column, value in zip(out, (doc, *leak), strict=True):
                             column.append(value)
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
