@@ -23,6 +23,8 @@ without any id has NULL); repeated rows give repeated results; other columns are
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,6 +46,23 @@ NEAR, MEMBERS = 7, 1024
 BITS = 1024
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the least Jaccard similarity ``link / of`` of linked sets."""
+
+    n: int = N
+    link: int = LINK
+    of: int = OF
+
+    def __post_init__(self):
+        # Linked sets must count as similar, or members of one hub would miss links.
+        if not NEAR * self.of <= 10 * self.link <= 10 * self.of:
+            raise ValueError(f"similarity {self.link}/{self.of} is not between {NEAR}/10 and 1")
+
+
+RULE = Rule()
+
+
 def shingle_set(text: bytes, n: int = N) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text."""
     words = word_hashes(text, lower=True)
@@ -70,7 +89,7 @@ def prefix_length(n: int, link: int = LINK, of: int = OF) -> int:
     return n - -(-link * n // of) + 1
 
 
-def frequent_tokens(df: DataFrame, text: str = "text") -> np.ndarray:
+def frequent_tokens(df: DataFrame, text: str = "text", rule: Rule = RULE) -> np.ndarray:
     """Hashes of shingles that are frequent in a bounded sample of rows, most frequent last."""
     total = df.count()
     share = min(1.0, SAMPLE / max(total, 1))
@@ -78,7 +97,7 @@ def frequent_tokens(df: DataFrame, text: str = "text") -> np.ndarray:
 
     def run(batches):
         for batch in slices(batches):
-            sets = [shingle_set(t) for t in byte_texts(batch.column(0))]
+            sets = [shingle_set(t, rule.n) for t in byte_texts(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["token"])
 
     found = rows.mapInArrow(run, "token long").groupBy("token").count().where(F.col("count") >= AT_LEAST)
@@ -104,19 +123,20 @@ class Order:
         return out
 
 
-def set_table(df: DataFrame, order: Order, key: str = "doc_id", text: str = "text") -> DataFrame:
+def set_table(df: DataFrame, order: Order, key: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
     """Per row: id, set size, name of the set (NULL if empty) and its first order keys."""
 
     def run(batches):
         for batch in slices(batches):
             sizes, names, firsts, maps = [], [], [], []
             for t in byte_texts(batch.column(text)):
-                elements = shingle_set(t)
+                elements = shingle_set(t, rule.n)
                 n = len(elements)
                 sizes.append(n)
                 maps.append(bitmap(elements))
                 names.append(xxhash.xxh3_128_digest(elements.tobytes()) if n else None)
-                firsts.append(order.keys(elements)[:prefix_length(n)].view(np.int64) if n else np.zeros(0, np.int64))
+                length = prefix_length(n, rule.link, rule.of) if n else 0
+                firsts.append(order.keys(elements)[:length].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
                  pa.array(firsts, pa.list_(pa.int64())), pa.array(maps, pa.list_(pa.int64())), batch.column("text_hash")],
@@ -126,13 +146,13 @@ def set_table(df: DataFrame, order: Order, key: str = "doc_id", text: str = "tex
     return own.mapInArrow(run, "doc_id long, n long, set binary, first array<long>, bits array<long>, text_hash long")
 
 
-def _can(n, at, m, to) -> np.ndarray:
+def _can(n, at, m, to, rule: Rule) -> np.ndarray:
     """Whether sets of sizes n, m that share the elements at these positions can be linked."""
-    need = -(-LINK * (n + m) // (OF + LINK))
-    return (np.minimum(n, m) * OF >= np.maximum(n, m) * LINK) & (1 + np.minimum(n - at - 1, m - to - 1) >= need)
+    need = -(-rule.link * (n + m) // (rule.of + rule.link))
+    return (np.minimum(n, m) * rule.of >= np.maximum(n, m) * rule.link) & (1 + np.minimum(n - at - 1, m - to - 1) >= need)
 
 
-def index_lists(rows: DataFrame) -> DataFrame:
+def index_lists(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Lists of the elements that several classes share, in blocks of bounded size.
 
     Entries stand by size. An entry that no other of its block can be linked with by size and
@@ -147,10 +167,10 @@ def index_lists(rows: DataFrame) -> DataFrame:
         keep = np.ones(len(held), bool)
         if not opened:
             hub = int(np.lexsort((n, at))[0])
-            keep = _can(n, at, n[hub], at[hub])
+            keep = _can(n, at, n[hub], at[hub], rule)
             keep[hub] = keep.sum() > 1
             for i in np.flatnonzero(~keep):
-                others = _can(n, at, n[i], at[i])
+                others = _can(n, at, n[i], at[i], rule)
                 others[i] = False
                 keep[i] = others.any()
         chosen = np.flatnonzero(keep)
@@ -193,7 +213,7 @@ def _pair_batch(pairs: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def hub_pairs(lists: DataFrame) -> DataFrame:
+def hub_pairs(lists: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Each block's hub (the set whose element comes first) with every set that it can be linked with."""
 
     def run(batches):
@@ -201,7 +221,7 @@ def hub_pairs(lists: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 n, at, sets = np.array(row["n"]), np.array(row["at"]), row["sets"]
                 hub = int(np.lexsort((n, at))[0])
-                can = _can(n, at, n[hub], at[hub])
+                can = _can(n, at, n[hub], at[hub], rule)
                 can[hub] = False
                 if can.any():
                     yield _pair_batch([(sets[hub], sets[i]) for i in np.flatnonzero(can)])
@@ -209,7 +229,7 @@ def hub_pairs(lists: DataFrame) -> DataFrame:
     return lists.mapInArrow(run, _PAIR).distinct()
 
 
-def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
+def cross_pairs(lists: DataFrame, roots: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Pairs of a list that can be linked by size and position and are not answered yet.
 
     Answered are pairs in one component and pairs with one hub (``roots`` has both for the sets
@@ -233,8 +253,8 @@ def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
     right = cut.select("token", "part", F.col("e").alias("y"), "low",
                        F.col("high").alias("upper"), "first", "last")
     across = left.join(right, "token").where(
-        (F.col("p") < F.col("part")) & (F.col("high") * OF >= F.col("low") * LINK)
-        & (F.col("upper") * OF >= F.col("least") * LINK)
+        (F.col("p") < F.col("part")) & (F.col("high") * rule.of >= F.col("low") * rule.link)
+        & (F.col("upper") * rule.of >= F.col("least") * rule.link)
         & ((F.col("f") != F.col("l")) | (F.col("first") != F.col("last")) | (F.col("f") != F.col("first")))
     ).select("token", "x", "y")
 
@@ -256,7 +276,7 @@ def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
                     if row["y"] is not None and i < first or not stop:
                         continue
                     j = slice(0, stop)
-                    can = (root[j] != root[i]) & (hub[j] != hub[i]) & _can(n[j], at[j], n[i], at[i])
+                    can = (root[j] != root[i]) & (hub[j] != hub[i]) & _can(n[j], at[j], n[i], at[i], rule)
                     out += [(sets[k], sets[i]) for k in np.flatnonzero(can)]
                 if out:
                     yield _pair_batch(out)
@@ -265,7 +285,7 @@ def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def compare(pairs: DataFrame, texts: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Exact sizes and overlap of pairs of sets, with the differences of similar ones.
 
     ``missing`` holds the places of the elements of ``a`` that ``b`` lacks, ``extra`` the elements of
@@ -279,8 +299,8 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             overlap, n, m, missing, extra = [], [], [], [], []
             for name, x, y in zip(a.to_pylist(), byte_texts(batch.column("x")), byte_texts(batch.column("y")), strict=True):
                 if name != last:
-                    last, hub = name, shingle_set(x)
-                other = shingle_set(y)
+                    last, hub = name, shingle_set(x, rule.n)
+                other = shingle_set(y, rule.n)
                 common, at, its = np.intersect1d(hub, other, assume_unique=True, return_indices=True)
                 overlap.append(len(common))
                 n.append(len(hub))
@@ -297,7 +317,7 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         texts.select(F.col("set").alias("a"), F.col("text").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInArrow(
         run, "a binary, b binary, overlap long, n long, m long, missing array<int>, extra array<long>").withColumn(
-        "linked", F.col("overlap") * OF >= (F.col("n") + F.col("m") - F.col("overlap")) * LINK)
+        "linked", F.col("overlap") * rule.of >= (F.col("n") + F.col("m") - F.col("overlap")) * rule.link)
 
 
 def hub_members(compared: DataFrame) -> DataFrame:
@@ -313,7 +333,7 @@ def hub_members(compared: DataFrame) -> DataFrame:
     return ranked.select("set", F.col("h.a").alias("hub"), "h.size", "h.n", "h.missing", "h.extra")
 
 
-def member_links(members: DataFrame) -> DataFrame:
+def member_links(members: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Links between members of one hub that lie in different components, one per pair of components.
 
     The overlap of two members follows from their differences to the hub:
@@ -344,7 +364,7 @@ def member_links(members: DataFrame) -> DataFrame:
         either = lacks[:, None] + lacks - lacking @ lacking.T
         overlap = np.rint(rows[0]["size"] - either + having @ having.T).astype(np.int64)
         root = np.unique([r["root"] for r in rows], return_inverse=True)[1]
-        hit = (overlap * OF >= (n[:, None] + n - overlap) * LINK) & (root[:, None] < root)
+        hit = (overlap * rule.of >= (n[:, None] + n - overlap) * rule.link) & (root[:, None] < root)
         x, y = np.nonzero(hit)
         first = np.unique(root[x] * (root.max() + 1) + root[y], return_index=True)[1]
         return [(rows[a]["set"], rows[b]["set"]) for a, b in zip(x[first], y[first], strict=True)]
@@ -366,7 +386,7 @@ def member_links(members: DataFrame) -> DataFrame:
         *unit).sortWithinPartitions(*unit).mapInArrow(run, _PAIR)
 
 
-def plausible(pairs: DataFrame, classes: DataFrame, near: bool) -> DataFrame:
+def plausible(pairs: DataFrame, classes: DataFrame, near: bool, rule: Rule = RULE) -> DataFrame:
     """The pairs that may be linked (or, with ``near``, similar) by the difference of their bitmaps."""
     side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -386,7 +406,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, near: bool) -> DataFrame:
     if near:
         can = most * 10 >= F.greatest("n_a", "n_b") * NEAR
     else:
-        can = most * OF >= (total - most) * LINK
+        can = most * rule.of >= (total - most) * rule.link
     return stage(both.where(can).select("a", "b"), "jaccard-plausible")
 
 
@@ -402,31 +422,32 @@ def _texts_of(df: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, tex
     return stage(own.join(near, same).select(near["set"], own["text"]).dropDuplicates(["set"]), "jaccard-texts")
 
 
-def _compared(df: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
-    return stage(compare(pairs, _texts_of(df, classes, pairs, key, text)), "jaccard-compared")
+def _compared(df: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
+    return stage(compare(pairs, _texts_of(df, classes, pairs, key, text), rule), "jaccard-compared")
 
 
-def join_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
     """Per row: doc_id, n_shingles (set size), component_id (smallest id reachable by links)."""
-    rows = stage(set_table(df, Order(frequent_tokens(df, text)), key, text), "jaccard-sets")
+    rows = stage(set_table(df, Order(frequent_tokens(df, text, rule)), key, text, rule), "jaccard-sets")
     classes = stage(
         rows.where(F.col("set").isNotNull()).groupBy("set")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("c"), F.first("n").alias("n"),
              F.first("bits").alias("bits"))
         .select("set", "c.doc_id", "c.text_hash", "n", "bits"), "jaccard-classes")
-    lists = stage(index_lists(rows), "jaccard-index")
-    pairs = stage(hub_pairs(lists), "jaccard-pairs")
-    first = _compared(df, classes, plausible(pairs, classes, near=True), key, text)
+    lists = stage(index_lists(rows, rule), "jaccard-index")
+    pairs = stage(hub_pairs(lists, rule), "jaccard-pairs")
+    first = _compared(df, classes, plausible(pairs, classes, True, rule), key, text, rule)
     linked = first.where("linked").select("a", "b")
     members = stage(hub_members(first), "jaccard-members")
     roots = components(linked).withColumnRenamed("node", "set")
     members = stage(members.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")), "jaccard-members")
-    derived = member_links(members)
+    derived = member_links(members, rule)
     known = members.select("set", "root", "hub").unionByName(
         roots.join(members, "set", "left_anti").withColumn("hub", F.lit(None).cast("binary")))
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(cross_pairs(lists, known).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = _compared(df, classes, plausible(rest, classes, near=False), key, text).where("linked").select("a", "b").unionByName(derived)
+    rest = stage(cross_pairs(lists, known, rule).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+    crossed = _compared(df, classes, plausible(rest, classes, False, rule), key, text, rule)
+    more = crossed.where("linked").select("a", "b").unionByName(derived)
     whole = components(linked.unionByName(more)).withColumnRenamed("node", "set").join(classes.select("set", "doc_id"), "set")
     named = whole.groupBy("root").agg(F.min("doc_id").alias("component"))
     of_set = whole.select("set", "root").join(named, "root").select("set", "component")
@@ -436,9 +457,9 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
     """The rows of ``df`` whose document is the first of its component, or has no id."""
-    found = join_components(df, key, text)
+    found = join_components(df, key, text, rule)
     gone = stage(found.where("doc_id != component_id").select("doc_id").distinct(), "jaccard-gone")
     return df.join(small_or_plain(gone, gone.count(), 16).withColumnRenamed("doc_id", "_gone"),
                    F.col(key).cast("long") == F.col("_gone"), "left_anti")

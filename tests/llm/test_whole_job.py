@@ -2,7 +2,8 @@
 
 import random
 
-from screenroll.llm import decontaminate
+import corpus_pipeline
+from screenroll.llm import decontaminate, jaccard
 
 
 def brute_leaks(rows, items):
@@ -37,3 +38,44 @@ def test_edited_copies_are_leaks_however_many(documents, spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.score) for r in decontaminate.find_leaks(documents(rows), bench).collect())
     assert got == brute_leaks(rows, items) and len(got) == 3 + 50 + 1000 + 20 + 2
+
+
+def brute_firsts(rows, n, link, of):
+    """Smallest ids of the groups of texts linked by their n-word shingles."""
+    sets = []
+    for _, t in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} or {tuple(w)})
+    label = {d: d for d, _ in rows}
+    for a, (x, _) in enumerate(rows):
+        for b, (y, _) in enumerate(rows[:a]):
+            if of * len(sets[a] & sets[b]) >= link * len(sets[a] | sets[b]):
+                low, high = sorted((label[x], label[y]))
+                label = {d: low if r == high else r for d, r in label.items()}
+    return {d for d, r in label.items() if d == r}
+
+
+def test_the_near_copy_stage_takes_five_words_and_four_fifths(documents, spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    rows = []
+    for size, most in ((50, 2), (200, 6), (500, 14), (3, 1), (8, 1)):
+        for _ in range(4):
+            base = [word() for _ in range(size)]
+            for changes in (0, *(rng.randint(0, most) for _ in range(9))):
+                copy = list(base)
+                for k in rng.sample(range(size), changes):
+                    copy[k] = word()
+                rows.append((len(rows), " ".join(copy)))
+    # One word in 50, 4 in 200 and 10 in 500: at least 0.8 by five words, below 0.9 by three.
+    pairs = []
+    for size, changes in ((50, 1), (200, 4), (500, 10)):
+        base = [word() for _ in range(size)]
+        copy = [word() if k % (size // changes) == size // changes // 2 else w for k, w in enumerate(base)]
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(copy))]
+    kept = {r.doc_id for r in corpus_pipeline.keep_first_copies(spark, documents(rows), "").collect()}
+    assert kept == brute_firsts(rows, 5, 80, 100)
+    assert all(a in kept and b not in kept for a, b in pairs)
+    strict = {r.doc_id for r in jaccard.keep_one(documents(rows)).collect()}
+    assert strict == brute_firsts(rows, 3, 90, 100) and all(b in strict for _, b in pairs)
