@@ -1,8 +1,10 @@
-"""License scan: TF-IDF cosine of the lines of a text to license templates, then inheritance by path.
+"""License scan: TF-IDF cosine of lines and word windows to license templates, then inheritance by path.
 
 Every text gives its license candidates: the lines that share a telling term with a template,
 weighted by TF-IDF (term counts in the line; document frequencies of the template terms over all
-texts; other terms count as distinct and rare) and compared by cosine. The best template at or above ``THRESHOLD`` is the file's own
+texts; other terms count as distinct and rare) and compared by cosine. Where no line reaches
+``THRESHOLD``, so are the windows of up to twice a template's length around every telling term, across line
+breaks: a notice within a long line or wrapped over lines counts as one alone. The best template at or above ``THRESHOLD`` is the file's own
 license. License files (by name) hand their license down: a file without a license of its own
 takes that of the nearest ancestor directory with one, found by one equi-join of all ancestor
 paths with the licensed directories.
@@ -76,7 +78,8 @@ def own_license(df: DataFrame, idf: dict[str, float], text: str = "text") -> Dat
     numbers = lambda values: F.array(*[F.lit(float(v)) for v in values])
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
     # A line below the threshold without these terms stays below it: the others are too light.
-    telling = "|".join(_anchors(idf))
+    anchors = _anchors(idf)
+    telling = "|".join(anchors)
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.lower(x).rlike(telling))
 
     def compared(counts: Column, others: Column) -> Column:
@@ -90,12 +93,30 @@ def own_license(df: DataFrame, idf: dict[str, float], text: str = "text") -> Dat
             choices.append(F.struct((inner / F.greatest(norm, F.lit(1e-9))).alias("score"), F.lit(name).alias("name")))
         return F.array_max(F.array(*choices))
 
-    def scored(line: Column) -> Column:
-        return _let(F.filter(_tokens(line), lambda t: t != ""), lambda tokens: _let(
+    def scored(tokens: Column) -> Column:
+        return _let(
             F.transform(known, lambda t: F.size(F.filter(tokens, lambda x: x == t)).cast("double")),
-            lambda counts: compared(counts, F.size(tokens) - F.aggregate(counts, F.lit(0.0), lambda a, v: a + v))))
-
-    rows = df.withColumn("_best", F.array_max(F.transform(lines, scored)))
+            lambda counts: compared(counts, F.size(tokens) - F.aggregate(counts, F.lit(0.0), lambda a, v: a + v)))
+
+    terms_of = lambda x: F.filter(_tokens(x), lambda t: t != "")
+    none = F.struct(F.lit(0.0).alias("score"), F.lit("").alias("name"))
+    places = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(back).alias("back"), F.lit(width).alias("width"))
+                       for t, back, width in _windows(anchors)])
+
+    def around(tokens: Column, at: Column) -> Column:
+        # The windows in which a telling term stands as it does in a template.
+        first = lambda w: at["place"] - w["back"]
+        return F.array_max(F.transform(F.filter(places, lambda w: w["term"] == at["term"]), lambda w: scored(F.slice(
+            tokens, F.greatest(first(w), F.lit(0)) + 1, w["width"] + F.least(first(w), F.lit(0))))))
+
+    def searched(tokens: Column) -> Column:
+        marked = F.transform(tokens, lambda t, i: F.when(t.isin(*anchors), F.struct(t.alias("term"), i.alias("place"))))
+        return F.aggregate(F.filter(marked, lambda m: m.isNotNull()), none, lambda best, m: F.greatest(best, around(tokens, m)))
+
+    rows = df.withColumn("_best", F.coalesce(F.array_max(F.transform(lines, lambda x: _let(terms_of(x), scored))), none))
+    # A notice that stands on a line of its own has the score of that line.
+    open_ = (F.col("_best.score") < THRESHOLD) & F.lower(text).rlike(f"(?<![a-z0-9])(?:{telling})(?![a-z0-9])")
+    rows = rows.withColumn("_best", F.when(open_, F.greatest("_best", _let(terms_of(F.col(text)), searched))).otherwise(F.col("_best")))
     good = F.col("_best.score") >= THRESHOLD
     return rows.withColumn("own_license", F.when(good, F.col("_best.name"))).withColumn(
         "own_score", F.when(good, F.col("_best.score")).otherwise(0.0)).drop("_best")
@@ -119,6 +140,17 @@ def _anchors(idf: dict[str, float]) -> list[str]:
     return sorted(out)
 
 
+def _windows(anchors: list[str]) -> list[tuple[str, int, int]]:
+    """Per anchor and place in a template: words before it and length of windows of 1, 1.5 and 2 templates."""
+    out = set()
+    for _, template in TEMPLATES:
+        terms = _terms(template)
+        for place, term in enumerate(terms):
+            if term in anchors:
+                out |= {(term, place + more // 2, len(terms) + more) for more in (0, len(terms) // 2, len(terms))}
+    return sorted(out)
+
+
 def _parent(path: Column) -> Column:
     return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise("")
 

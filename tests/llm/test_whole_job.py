@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from screenroll.llm import decontaminate, jaccard
+from screenroll.llm import decontaminate, jaccard, licenses
 
 
 def brute_leaks(rows, items):
@@ -79,3 +79,26 @@ def test_the_near_copy_stage_takes_five_words_and_four_fifths(documents, spark):
     assert all(a in kept and b not in kept for a, b in pairs)
     strict = {r.doc_id for r in jaccard.keep_one(documents(rows)).collect()}
     assert strict == brute_firsts(rows, 3, 90, 100) and all(b in strict for _, b in pairs)
+
+
+def test_notices_in_long_lines_and_over_two_lines(documents):
+    rng = random.Random(10)
+    noise = lambda n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+    rows, want = [], {}
+    for name, template in licenses.TEMPLATES:
+        words = template.split()
+        half = len(words) // 2
+        for text in (
+            " ".join(noise(100) + words + noise(100)),
+            " ".join(noise(200) + words), " ".join(words + noise(200)),
+            " ".join(noise(30) + words[:half]) + "\n * " + " ".join(words[half:] + noise(30)),
+            " ".join(noise(60) + words[:half] + noise(1) + words[half:] + noise(60)),
+        ):
+            want[len(rows)] = name
+            rows.append((len(rows), text))
+    for text in (" ".join(noise(200)), "the " * 200 + "license " + "of " * 200, " ".join(noise(90) + ["mit"] + noise(90)), None):
+        want[len(rows)] = None
+        rows.append((len(rows), text))
+    idf = licenses.weights(10_000, {"the": 9_000, "of": 8_000, "is": 7_000, "license": 500, "licensed": 300, "under": 900})
+    got = {r.doc_id: r.own_license for r in licenses.own_license(documents(rows), idf).collect()}
+    assert got == want
