@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import report as bpe_report
+from .codes import codes_sql
+from .codes import report as code_report
 from .common import read, ship
 from .decontaminate import find_leaks
 from .jaccard import jaccard_sql, join_components
-from .oracle_pii import pii_sql
+from .langid import report as language_report
 from .licenses import report as license_report
+from .oracle_pii import pii_sql
 from .pii import report as pii_report
 from .quality import report as quality_report
+from .spelling import report as spelling_report
+from .spelling import spelling_sql
 from .substrings import report as substring_report
 from .substrings import substring_sql
 from .topk import report as topk_report
@@ -51,4 +56,7 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op8_topk": (_over(topk_report, "embeddings"), topk_sql()),
     "op9_substrings": (_over(substring_report, "documents"), substring_sql()),
     "op10_jaccard": (_over(join_components, "documents"), jaccard_sql()),
+    "op11_language": (_over(language_report, "documents"), None),
+    "op12_spelling": (_over(spelling_report, "documents"), spelling_sql()),
+    "op13_codes": (_over(code_report, "embeddings"), codes_sql()),
 }

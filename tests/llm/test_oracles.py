@@ -21,7 +21,7 @@ def test_every_operator_is_registered():
     import __spark_entry__
 
     numbers = sorted(int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
 
 
 def test_native_operators_run_no_python(spark):
