@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timezone
 from itertools import accumulate
 
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import encode_entity_type, fit, full_name
-from ..plans.shared import shared_folder
+from ..plans.shared import small, stored
 from ..plans.skew import DEFAULT_POLICY, SkewPolicy, split_counts
 from ..plans.star import HUB, Satellite, star_join
 from ..schemas import EXCLUDED_ALIAS_TYPES, ID_SLOTS, KEY, WATCHLIST_COLUMNS
@@ -138,28 +137,26 @@ def assign_ids(df: DataFrame, dense: bool = False) -> DataFrame:
     """Add a unique long ``ID`` as first column.
 
     By default ids are unique but not consecutive and cost nothing. ``dense``
-    gives exactly 1..n: the rows are stored in the shared folder, which fixes
-    their place, counted per partition, and numbered from its offset.
+    gives exactly 1..n: every row is stored together with its place (task and
+    position) in the shared folder, the rows of each task are counted, and an
+    id is the place behind the rows of all earlier tasks. Places are read, not
+    worked out again, so they do not depend on how the files are split when
+    they are counted and numbered.
     """
     place = F.monotonically_increasing_id()
     if not dense:
         return df.select(place.alias("ID"), "*")
-    path = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    fixed = df.sparkSession.read.schema(df.schema).parquet(path)
-    sizes = fixed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
-    counts = {r["p"]: r["n"] for r in sizes.collect()}
-    parts = sorted(counts)
-    before = [0, *accumulate(counts[p] for p in parts)][: len(parts)]
-    # One row per partition, so the size is bounded by the number of tasks.
+    rows, _ = stored(df.withColumn("_place", place), "rows", n=F.count("*"))
+    part = F.shiftright("_place", 33).cast("int")
+    position = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("_part")).agg((F.max(position) + 1).alias("n")).orderBy("_part").toArrow()
+    # One row per task that wrote rows, whatever the number of rows.
+    before = [0, *accumulate(sizes.column("n").to_pylist())][: sizes.num_rows]
     first = df.sparkSession.createDataFrame(
-        pa.table({"_part": pa.array(parts, pa.int32()), "_first": pa.array(before, pa.int64())})
+        pa.table({"_part": sizes.column("_part"), "_first": pa.array(before, pa.int64())})
     )
-    in_partition = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        fixed.withColumn("_place", place)
-        .withColumn("_part", F.spark_partition_id())
-        .join(F.broadcast(first), "_part")
-        .select((F.col("_first") + in_partition + 1).alias("ID"), *df.columns)
+        rows.withColumn("_part", part)
+        .join(small(first, sizes.num_rows, 16), "_part")
+        .select((F.col("_first") + position + 1).alias("ID"), *df.columns)
     )
-

@@ -8,6 +8,7 @@ from ..operators.consolidate import distinct_profiles, joined_attributes, many_i
 from ..operators.publish import ALIAS, alias_satellite, assign_ids, list_rows, publish, publish_base
 from ..operators.views import run_summary
 from ..schemas import KEY
+from .pointer import current, point_to, pointers
 from .skew import DEFAULT_POLICY, SkewPolicy
 
 SUMMARIES = "summaries"
@@ -40,40 +41,37 @@ def build_watchlist(
 
 
 def write_watchlist(watchlist: DataFrame, root: str, version_id: str, dense_ids: bool = False) -> str:
-    """Store a new version beside the older ones; readers switch when it is complete.
+    """Store the rows of a version beside the older ones; ``run`` publishes it.
 
-    Each file is sorted by entity and alias, so row groups can be skipped by them.
-    An existing version is never overwritten.
+    Each file is sorted by entity and alias, so row groups can be skipped by them. A published
+    version is never overwritten; what an interrupted run of this version left is replaced.
     """
+    if any(p["version"] == version_id for p in pointers(watchlist.sparkSession, root)):
+        raise FileExistsError(f"version {version_id} exists under {root}")
     path = f"{root}/version={version_id}"
     ordered = assign_ids(watchlist, dense_ids).sortWithinPartitions(KEY, "EntityAliasGUID")
-    ordered.write.mode("errorifexists").option(
-        "compression", "zstd"
-    ).parquet(path)
+    ordered.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 
 def latest_version(spark: SparkSession, root: str) -> str:
-    """Greatest completely written version under ``root``."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    folder = jvm_path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = [
-        s.getPath().getName().removeprefix("version=")
-        for s in files.listStatus(folder)
-        if s.getPath().getName().startswith("version=")
-        and files.exists(jvm_path(s.getPath(), "_SUCCESS"))
-    ]
-    if not versions:
+    """The version that was published last."""
+    found = current(spark, root)
+    if found is None:
         raise ValueError(f"no complete version under {root}")
-    return max(versions, key=lambda v: (v.isdigit(), int(v) if v.isdigit() else 0, v))
+    return found["version"]
 
 
 def read_watchlist(spark: SparkSession, root: str, version_id: str | None = None) -> DataFrame:
-    """A stored version of the list, by default the latest complete one."""
+    """A stored version of the list, by default the one published last."""
     return spark.read.parquet(f"{root}/version={version_id or latest_version(spark, root)}")
 
 
+def read_summary(spark: SparkSession, root: str, version_id: str | None = None) -> DataFrame:
+    """The summary that belongs to a version, by default to the one published last."""
+    return spark.read.parquet(f"{root}/{SUMMARIES}/version={version_id or latest_version(spark, root)}")
+
+
 def run(
     tables: dict[str, DataFrame],
     root: str,
@@ -82,12 +80,16 @@ def run(
     dense_ids: bool = False,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Build and store one version and its summary; returns both as stored."""
+    """Build and store one version and its summary; returns both as stored.
+
+    Readers see the version when its pointer is written, after list and summary: a run that
+    dies at any step leaves the version published before.
+    """
     watchlist = build_watchlist(tables, version_id, run_ts, **options)
     write_watchlist(watchlist, root, version_id, dense_ids)
     spark = watchlist.sparkSession
     stored = read_watchlist(spark, root, version_id)
-    path = f"{root}/{SUMMARIES}/version={version_id}"
-    summary = run_summary(stored, run_ts)
-    summary.coalesce(1).write.mode("errorifexists").parquet(path)
-    return stored, spark.read.schema(summary.schema).parquet(path)
+    summary = run_summary(stored, run_ts).coalesce(1)
+    summary.write.mode("overwrite").parquet(f"{root}/{SUMMARIES}/version={version_id}")
+    point_to(spark, root, lambda _: {"version": version_id})
+    return stored, read_summary(spark, root, version_id)

@@ -1,8 +1,13 @@
-"""The folder that the driver and all executors see."""
+"""The folder that the driver and all executors see, and tables stored there."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -12,3 +17,16 @@ def shared_folder(spark: SparkSession) -> str:
         if folder:
             return folder.rstrip("/")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+
+
+def stored(df: DataFrame, name: str, **facts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` written once to the shared folder and read back, and aggregates over it from that same write."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    seen = Observation()
+    df.observe(seen, *[value.alias(fact) for fact, value in facts.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), {k: v or 0 for k, v in seen.get.items()}
+
+
+def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """``df`` marked for broadcast if ``rows`` of about ``row_bytes`` fit; else left to a shuffle join."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

@@ -11,11 +11,12 @@ import uuid
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import FIRST_YEAR
+from ..plans.pointer import current, point_to
 from ..schemas import FEED, feed_schema
 
 log = logging.getLogger(__name__)
@@ -60,41 +61,81 @@ def stage_feed(
     """Load the feed into Parquet under ``target``, replacing what is there.
 
     Each file is parsed once: one write stores good rows and quarantined rows
-    side by side. All tables are written to a new folder and checked against
-    their budget of bad rows first; a load that fails leaves the old tables as
-    they were. Returns the good rows by table, and the audit.
+    side by side and counts both. The tables go to a folder of this load;
+    when all keep their budget of bad rows, one pointer file makes them the
+    current ones. A load that fails or dies at any step leaves the old tables
+    current, and running readers keep the files that they have resolved.
+    Tables that are not loaded stay as they are. Returns the good rows of the
+    loaded tables, and the audit.
     """
-    loading = f"{target}/_loading-{uuid.uuid4().hex}"
-    schemas, lines = {}, []
-    for table in tables or list(FEED):
-        parsed = _parse(spark, folder, table)
-        reason = _reason(table)
-        path = f"{loading}/{table}"
-        (
-            parsed.withColumn("LoadReason", reason)
-            .withColumn("LoadState", F.when(reason.isNull(), "good").otherwise("bad"))
-            .write.partitionBy("LoadState").parquet(path)
-        )
-        whole = T.StructType([*parsed.schema.fields, T.StructField("LoadReason", T.StringType()),
-                              T.StructField("LoadState", T.StringType())])
-        stored = spark.read.schema(whole).parquet(path)
-        states = dict(
-            (r["LoadState"], r["count"]) for r in stored.groupBy("LoadState").count().collect()
-        )
-        good, bad = states.get("good", 0), states.get("bad", 0)
-        log.info("%s: %d rows, %d bad", table, good, bad)
-        lines.append((table, good, bad))
-        _check_budget(bad, table, max_errors)
-        schemas[table] = whole
-    _switch(spark, loading, target, list(schemas))
-    staged = {
-        table: spark.read.schema(schema).parquet(f"{target}/{table}")
-        .where(F.col("LoadState") == "good").select(*FEED[table])
-        for table, schema in schemas.items()
-    }
-    names, good, bad = zip(*lines)
-    audit = spark.createDataFrame(pa.table({"TableName": names, "Rows": good, "BadRows": bad}))
-    return staged, audit
+    names = tables or list(FEED)
+    loading = f"load={uuid.uuid4().hex}"
+    loaded = {table: _load(spark, folder, target, f"{loading}/{table}", table, max_errors) for table in names}
+    point_to(spark, target, lambda old: {"tables": (old or {}).get("tables", {}) | loaded})
+    staged = {table: _staged(spark, table, f"{target}/{entry['path']}") for table, entry in loaded.items()}
+    return staged, _audit(spark, loaded)
+
+
+def staged_tables(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """Good rows of the current tables under ``target``, all of one state: the pointer is read once."""
+    entries = _current_entries(spark, target)
+    return {table: _staged(spark, table, f"{target}/{entry['path']}") for table, entry in entries.items()}
+
+
+def staged_audit(spark: SparkSession, target: str) -> DataFrame:
+    """Good and bad rows of the current tables, as counted by the loads that wrote them."""
+    return _audit(spark, _current_entries(spark, target))
+
+
+def quarantined(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """Bad rows of a current table as (``Table``, ``Reason``, ``Line``)."""
+    path = _current_entries(spark, target)[table]["path"]
+    rows = spark.read.schema(_stored_schema(table)).parquet(f"{target}/{path}").where(F.col("LoadState") == "bad")
+    return rows.select(F.lit(table).alias("Table"), F.col("LoadReason").alias("Reason"), _line(table).alias("Line"))
+
+
+def _current_entries(spark: SparkSession, target: str) -> dict[str, dict]:
+    found = current(spark, target)
+    if found is None:
+        raise ValueError(f"no complete load under {target}")
+    return found["tables"]
+
+
+def _load(spark: SparkSession, folder: str, target: str, path: str, table: str, max_errors: int) -> dict:
+    """Store the rows of one file, good and bad, under ``target``; counts come from the same pass."""
+    reason = F.col("LoadReason")
+    seen = Observation(f"load of {table}")
+    (
+        _parse(spark, folder, table)
+        .withColumn("LoadReason", _reason(table))
+        .withColumn("LoadState", F.when(reason.isNull(), "good").otherwise("bad"))
+        .observe(seen, F.count_if(reason.isNull()).alias("good"), F.count_if(reason.isNotNull()).alias("bad"))
+        .write.partitionBy("LoadState").parquet(f"{target}/{path}")
+    )
+    good, bad = seen.get["good"] or 0, seen.get["bad"] or 0
+    log.info("%s: %d rows, %d bad", table, good, bad)
+    _check_budget(bad, table, max_errors)
+    return {"path": path, "good": good, "bad": bad}
+
+
+def _stored_schema(table: str) -> T.StructType:
+    schema = feed_schema(table)
+    for name in (BAD_LINE, "LoadReason", "LoadState"):
+        schema = schema.add(name, T.StringType())
+    return schema
+
+
+def _staged(spark: SparkSession, table: str, path: str) -> DataFrame:
+    stored = spark.read.schema(_stored_schema(table)).parquet(path)
+    return stored.where(F.col("LoadState") == "good").select(*FEED[table])
+
+
+def _audit(spark: SparkSession, loaded: dict[str, dict]) -> DataFrame:
+    return spark.createDataFrame(pa.table({
+        "TableName": pa.array(loaded, pa.string()),
+        "Rows": pa.array([e["good"] for e in loaded.values()], pa.int64()),
+        "BadRows": pa.array([e["bad"] for e in loaded.values()], pa.int64()),
+    }))
 
 
 def load_audit(tables: dict[str, DataFrame], bad: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -167,13 +208,17 @@ def _good(parsed: DataFrame, table: str) -> DataFrame:
     return parsed.where(_reason(table).isNull()).drop(BAD_LINE)
 
 
-def _bad(parsed: DataFrame, table: str) -> DataFrame:
+def _line(table: str) -> Column:
+    """The text of a bad row; of a readable one, its fields joined again."""
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FEED[table]]
-    line = F.coalesce(F.col(BAD_LINE), F.concat_ws("|", *fields))
+    return F.coalesce(F.col(BAD_LINE), F.concat_ws("|", *fields))
+
+
+def _bad(parsed: DataFrame, table: str) -> DataFrame:
     return (
         parsed.withColumn("Reason", _reason(table))
         .where(F.col("Reason").isNotNull())
-        .select(F.lit(table).alias("Table"), "Reason", line.alias("Line"))
+        .select(F.lit(table).alias("Table"), "Reason", _line(table).alias("Line"))
     )
 
 
@@ -182,17 +227,6 @@ def _check_budget(bad: int, table: str, max_errors: int) -> None:
         raise ValueError(f"{table}: more than {max_errors} bad rows")
 
 
-def _switch(spark: SparkSession, loading: str, target: str, tables: list[str]) -> None:
-    """Put the loaded tables in the place of the old ones."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    for table in tables:
-        files.delete(path(f"{target}/{table}"), True)
-        if not files.rename(path(f"{loading}/{table}"), path(f"{target}/{table}")):
-            raise OSError(f"{table}: could not be put in place; it is in {loading}")
-    files.delete(path(loading), True)
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
