@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fit, visible_length
-from ..plans.skew import DEFAULT_POLICY, SkewPolicy, heavy_keys, split_counts
+from ..plans.shared import small
+from ..plans.skew import DEFAULT_POLICY, Keys, SkewPolicy, heavy_keys, split_counts
 from ..plans.star import HUB, Satellite, star_join
 from ..schemas import BIRTH_PLACE, KEY
 
@@ -16,14 +17,14 @@ def best_by_length(
     key: str,
     columns: list[str],
     ties: str = "all",
-    heavy: list[str] | None = None,
+    heavy: Keys | None = None,
 ) -> DataFrame:
     """Rows of each key with the most text in ``columns``.
 
     ``ties="all"`` keeps every row of the greatest length, ``"one"`` a single
     one (least in column order). The window limits each key before the
-    shuffle. Rows of the ``heavy`` keys are not shuffled at all: their greatest
-    lengths, one row per listed key, are sent to them.
+    shuffle. The greatest lengths of the ``heavy`` keys, one row each, are sent
+    to their rows, which are not shuffled at all while those are few.
     """
     if ties not in ("all", "one"):
         raise ValueError(f"unknown ties {ties!r}")
@@ -38,14 +39,14 @@ def best_by_length(
         best = rows.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") == 1)
         return best.drop("_nth", "_length")
 
-    light = rows.where(~F.col(key).isin(heavy)) if heavy else rows
+    light = heavy.others(rows, key) if heavy else rows
     order = Window.partitionBy(key).orderBy(by_length)
     best = light.withColumn("_nth", F.rank().over(order)).where(F.col("_nth") == 1)
     best = best.drop("_nth", "_length")
     if heavy:
-        dense = rows.where(F.col(key).isin(heavy))
-        longest = dense.groupBy(key).agg(F.max("_length").alias("_length"))
-        best = best.unionByName(dense.join(F.broadcast(longest), [key, "_length"]).drop("_length"))
+        dense = heavy.of(rows, key)
+        longest = small(dense.groupBy(key).agg(F.max("_length").alias("_length")), heavy.count, 100)
+        best = best.unionByName(dense.join(longest, [key, "_length"]).drop("_length"))
     return best
 
 
@@ -54,7 +55,7 @@ def address_rows(
     country: DataFrame,
     ties: str = "all",
     overlong: str = "error",
-    heavy: list[str] | None = None,
+    heavy: Keys | None = None,
 ) -> DataFrame:
     """Best addresses with country names, without birth places.
 
@@ -100,8 +101,8 @@ def format_address(
     places = birth_places(address, overlong)
     sources = {HUB: address.where(F.col("AddressTypeDesc") != BIRTH_PLACE), "birth_place": places}
     heavy = heavy_keys(sources, policy)
-    best = address_rows(address, country, ties, overlong, list(heavy.get(HUB, [])))
-    splits = split_counts({HUB: best, "birth_place": places}, policy, sources=sources)
+    best = address_rows(address, country, ties, overlong, heavy.keys(HUB))
+    splits = split_counts({HUB: best, "birth_place": places}, policy, heavy=heavy)
     return star_join(best, [Satellite("birth_place", places)], splits).select(
         KEY, "AddressLine1", "AddressLine2", "City", "CountryCode", "POB", "Country"
     )

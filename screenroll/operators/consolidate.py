@@ -116,8 +116,8 @@ def joined_attributes(
 
     ``last`` is one more satellite, joined after all others. Satellites with
     one row per entity come first, so that rows multiply late. Heavy keys are
-    looked for on the key columns of the inputs, then counted exactly on the
-    rows that are joined. Entities without an id match nothing; they bypass
+    counted once, on the key columns of the inputs; what they join is counted
+    again only for those. Entities without an id match nothing; they bypass
     the joins, or are left out without ``anonymous``.
     """
     hub = _entities(tables["Entity"], row_limit, True)
@@ -127,12 +127,12 @@ def joined_attributes(
     inputs = many_inputs(tables, row_limit)
     if last:
         inputs[last.name] = last.rows if last.source is None else last.source
-    heavy = heavy_keys({**inputs, "remark": remark}, policy)
+    heavy = heavy_keys({**inputs, "remark": remark}, policy, joined=list(inputs))
 
     satellites = [
         Satellite("exposed", pep_entities(assoc).withColumn("_exposed", F.lit(True))),
         Satellite("birth_dates", format_birth_dates(tables["EntityDOB"], order, null_parts)),
-        Satellite("remarks", merge_remarks(remark, null_if_single, heavy.get("remark", {}), policy)),
+        Satellite("remarks", merge_remarks(remark, null_if_single, heavy, policy)),
         Satellite(
             "sources",
             merge_sources(tables["EntitySourceItem"])
@@ -151,7 +151,7 @@ def joined_attributes(
         Satellite("sanction", _source(tables["EntitySanction"], "_sanctioned")),
         Satellite(
             "address",
-            address_rows(address, country, ties, overlong, list(heavy.get("address", [])))
+            address_rows(address, country, ties, overlong, heavy.keys("address"))
             .drop("CountryCode"),
         ),
         Satellite("birth_place", birth_places(address, overlong), only_with="HasAddress"),
@@ -165,7 +165,7 @@ def joined_attributes(
         ]
 
     rows = {HUB: hub, **{s.name: s.rows for s in satellites}}
-    splits = split_counts({name: rows[name] for name in inputs}, policy, sources=inputs)
+    splits = split_counts({name: rows[name] for name in inputs}, policy, heavy=heavy)
     joined = star_join(hub, satellites, splits)
     if anonymous:
         joined = joined.unionByName(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fit
-from ..plans.skew import DEFAULT_POLICY, SkewPolicy, heavy_keys
+from ..plans.skew import DEFAULT_POLICY, Heavy, Keys, SkewPolicy, heavy_keys
 from ..schemas import KEY, NATIONAL_ID_PREFIX
 
 SEPARATOR = "; "
@@ -18,7 +18,7 @@ def merge_text(
     widths: dict[str, int | None],
     sep: str = SEPARATOR,
     null_if_single: bool = False,
-    heavy: list[str] | None = None,
+    heavy: Keys | None = None,
     salts: int = 256,
 ) -> DataFrame:
     """One row per key: the distinct texts of each column, ascending, joined by ``sep``.
@@ -31,7 +31,7 @@ def merge_text(
     Equal texts collapse before the shuffle. Of a cut column only the texts
     that begin within the width can show, so the others are dropped before
     they are collected: what is collected per key is bounded by the width;
-    columns without a width are collected whole. The keys listed in ``heavy`` are pre-cut in ``salts`` groups first.
+    columns without a width are collected whole. The ``heavy`` keys are pre-cut in ``salts`` groups first.
     """
     columns = list(widths)
     ids = {c: i for i, c in enumerate(columns)}
@@ -61,10 +61,8 @@ def merge_text(
             cut = F.col("_col").isin(list(by_id))
             whole, texts = texts.where(~cut), texts.where(cut)
         if heavy:
-            light = texts.where(~F.col(key).isin(heavy))
-            dense = texts.where(F.col(key).isin(heavy)).withColumn(
-                "_salt", F.pmod(F.xxhash64("_text"), F.lit(salts))
-            )
+            light = heavy.others(texts, key)
+            dense = heavy.of(texts, key).withColumn("_salt", F.pmod(F.xxhash64("_text"), F.lit(salts)))
             dense = _within_width(dense, [*group, "_salt"], by_id, sep).drop("_salt")
             texts = light.unionByName(dense)
         texts = _within_width(texts, group, by_id, sep)
@@ -124,18 +122,19 @@ def merge_sources(source_item: DataFrame) -> DataFrame:
 def merge_remarks(
     remark: DataFrame,
     null_if_single: bool = False,
-    heavy: dict[str, int] | None = None,
+    heavy: Heavy | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Remarks of each entity, each cut to 4000 characters, joined and cut again.
 
-    Heavy entities are looked for unless they are given with their rows.
+    Heavy entities are looked for unless a count with a frame ``remark`` is given.
     """
     if heavy is None:
-        heavy = heavy_keys({"remark": remark}, policy).get("remark", {})
-    salts = -(-max(heavy.values(), default=1) // policy.rows_per_task)
+        heavy = heavy_keys({"remark": remark}, policy)
+    keys = heavy.keys("remark")
+    salts = -(-keys.most // policy.rows_per_task) if keys else 1
     cut = remark.select(KEY, fit(F.col("Remark"), 4000).alias("Remark"))
-    return merge_text(cut, KEY, {"Remark": 4000}, SEPARATOR, null_if_single, list(heavy), salts)
+    return merge_text(cut, KEY, {"Remark": 4000}, SEPARATOR, null_if_single, keys, salts)
 
 
 def merge_national_ids(ident: DataFrame, null_if_single: bool = False) -> DataFrame:

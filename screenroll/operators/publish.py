@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import encode_entity_type, fit, full_name
 from ..plans.shared import small, stored
-from ..plans.skew import DEFAULT_POLICY, SkewPolicy, split_counts
+from ..plans.skew import DEFAULT_POLICY, SkewPolicy, heavy_keys, split_counts
 from ..plans.star import HUB, Satellite, star_join
 from ..schemas import EXCLUDED_ALIAS_TYPES, ID_SLOTS, KEY, WATCHLIST_COLUMNS
 
@@ -123,7 +123,8 @@ def publish(
     Heavy keys are picked by the rows of ``sources``, else of stored profiles and aliases.
     """
     satellite = alias_satellite(alias)
-    splits = split_counts({HUB: profiles.select(KEY), ALIAS: satellite.rows}, policy, sources=sources)
+    heavy = heavy_keys(sources, policy) if sources else None
+    splits = split_counts({HUB: profiles.select(KEY), ALIAS: satellite.rows}, policy, heavy=heavy)
     return list_rows(star_join(profiles, [satellite], splits), version_id, run_ts)
 
 

@@ -1,7 +1,9 @@
 """Finding keys that hold too many rows, or give too many, for one task.
 
 Nothing here changes a result: the operators give the same rows whatever the
-list of heavy keys is. It only decides which keys get the spread-out plan.
+heavy keys are. It only decides which keys get the spread-out plan. Heavy keys
+and splits are tables in the shared folder that are joined; the driver learns
+how many rows they have, nothing else.
 """
 
 from __future__ import annotations
@@ -9,11 +11,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KEY
+from .shared import small, stored
+
+#: About the bytes of a row of these tables in memory.
+_ROW_BYTES = 100
 
 
 @dataclass(frozen=True)
@@ -26,6 +31,67 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
+@dataclass(frozen=True)
+class Keys:
+    """Distinct keys as a stored table of one column ``_key``, with their rows ``_n``; ``most`` is the greatest of these."""
+
+    rows: DataFrame
+    count: int
+    most: int
+
+    def _table(self) -> DataFrame:
+        return small(self.rows.select("_key"), self.count, _ROW_BYTES)
+
+    def of(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows of these keys."""
+        return df.join(self._table(), F.col(key).cast("string") == F.col("_key"), "left_semi")
+
+    def others(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows of all other keys, and those without a key."""
+        return df.join(self._table(), F.col(key).cast("string") == F.col("_key"), "left_anti")
+
+
+@dataclass(frozen=True)
+class Splits:
+    """Keys to spread: a table (``_heavy`` key, ``_spread`` frame to divide, ``_parts``), and rows of it per frame."""
+
+    rows: DataFrame
+    counts: dict[str, int]
+
+    def table(self) -> DataFrame:
+        return small(self.rows, sum(self.counts.values()), _ROW_BYTES)
+
+
+@dataclass(frozen=True)
+class Heavy:
+    """What one count of the keys of several frames found.
+
+    ``rows`` is a stored table (``k``, ``n0``, ``n1``, ..) of the keys that are heavy in a frame or
+    by the product of the ``joined`` frames.
+    """
+
+    rows: DataFrame
+    frames: tuple[str, ...]
+    facts: dict[str, int]
+    policy: SkewPolicy
+
+    def keys(self, frame: str) -> Keys | None:
+        """Keys with more rows in a frame than a task should have; None if there are none."""
+        i = self.frames.index(frame)
+        if not self.facts[f"h{i}"]:
+            return None
+        n = F.col(f"n{i}")
+        rows = self.rows.where(n > self.policy.rows_per_task).select(F.col("k").alias("_key"), n.alias("_n"))
+        return Keys(rows, self.facts[f"h{i}"], self.facts[f"m{i}"])
+
+    def products(self) -> Keys | None:
+        """Keys whose join gives too many rows; None if there are none."""
+        if not self.facts["products"]:
+            return None
+        rows = self.rows.where("product").select(F.col("k").alias("_key"), F.lit(0).cast("long").alias("_n"))
+        return Keys(rows, self.facts["products"], 0)
+
+
 def _counts(frames: dict[str, DataFrame], key: str) -> DataFrame:
     """Exact rows of every key in each frame: one column per frame, one row per key.
 
@@ -43,59 +109,68 @@ def _counts(frames: dict[str, DataFrame], key: str) -> DataFrame:
     )
 
 
+def _weight(numbers: list[int]) -> Column:
+    """Rows that a join of these frames has for a key, at least those that come in."""
+    counts = [F.col(f"n{i}").cast("double") for i in numbers]
+    product = reduce(lambda a, b: a * b, [F.greatest(c, F.lit(1.0)) for c in counts])
+    return F.greatest(product, reduce(lambda a, b: a + b, counts))
+
+
 def heavy_keys(
-    frames: dict[str, DataFrame], policy: SkewPolicy = DEFAULT_POLICY, key: str = KEY
-) -> dict[str, dict[str, int]]:
-    """Keys of each frame with more rows than a task should have, counted exactly, in one pass.
+    frames: dict[str, DataFrame],
+    policy: SkewPolicy = DEFAULT_POLICY,
+    key: str = KEY,
+    joined: list[str] | None = None,
+) -> Heavy:
+    """Keys with too many rows in a frame, or in the join of the ``joined`` frames (all by default).
 
-    At most rows / rows_per_task keys of a frame can be heavy, which bounds what reaches the driver.
+    The rows of every key are counted exactly, in one pass over the key columns.
     """
-    numbers = range(len(frames))
-    some = reduce(lambda a, b: a | b, [F.col(f"n{i}") > policy.rows_per_task for i in numbers])
-    found: dict[str, dict[str, int]] = {}
-    for row in _counts(frames, key).where(some).orderBy("k").collect():
-        for i, name in enumerate(frames):
-            if row[f"n{i}"] > policy.rows_per_task:
-                found.setdefault(name, {})[row["k"]] = row[f"n{i}"]
-    return found
-
-
-def _weight(n: int):
-    """Rows that a join of ``n`` frames has for a key, at least those that come in."""
-    counts = [F.col(f"n{i}").cast("double") for i in range(n)]
-    product = reduce(lambda a, b: a * b, [F.greatest(c, F.lit(1.0)) for c in counts])
-    return F.greatest(product, reduce(lambda a, b: a + b, counts))
+    names = tuple(frames)
+    some = [F.col(f"n{i}") > policy.rows_per_task for i in range(len(names))]
+    weight = _weight([names.index(n) for n in (names if joined is None else joined)])
+    counted = _counts(frames, key).withColumn("product", weight > policy.rows_per_task)
+    rows, facts = stored(
+        counted.where(reduce(lambda a, b: a | b, [*some, F.col("product")])), "heavy",
+        products=F.count_if("product"),
+        **{f"h{i}": F.count_if(one) for i, one in enumerate(some)},
+        **{f"m{i}": F.max(f"n{i}") for i in range(len(names))},
+    )
+    return Heavy(rows, names, facts, policy)
 
 
 def split_counts(
     frames: dict[str, DataFrame],
     policy: SkewPolicy = DEFAULT_POLICY,
     key: str = KEY,
-    sources: dict[str, DataFrame] | None = None,
-) -> dict[str, dict[str, int]]:
+    heavy: Heavy | None = None,
+) -> Splits | None:
     """For each key whose join gives too many rows, the frame to divide and into how many parts.
 
-    The join of a key has as many rows as the product of its rows in all frames. Keys are picked by
-    that product over ``sources``, tables that are cheap to count and give no fewer rows; then
-    counted exactly on the frames. The frame with most rows of a key is divided, into at most as
-    many parts as it has rows.
+    The join of a key has as many rows as the product of its rows in all frames. ``heavy`` was found
+    in tables that are cheap to count and give no fewer rows; only its keys are then counted on the
+    frames. The frame with most rows of a key is divided, into at most as many parts as it has rows.
+    None if there is nothing to spread.
     """
-    if sources:
-        heavy = _counts(sources, key).where(_weight(len(sources)) > policy.rows_per_task)
-        picked = [r[0] for r in heavy.select("k").collect()]
-        if not picked:
-            return {}
-        # Sent or shuffled by Spark, as its size allows.
-        spark = next(iter(frames.values())).sparkSession
-        chosen = spark.createDataFrame(pa.table({"_picked": pa.array(picked, pa.string())}))
-        frames = {
-            n: df.join(chosen, F.col(key).cast("string") == F.col("_picked"), "left_semi") for n, df in frames.items()
-        }
-    splits: dict[str, dict[str, int]] = {}
-    heavy = _counts(frames, key).withColumn("weight", _weight(len(frames)))
-    for row in heavy.where(F.col("weight") > policy.rows_per_task).orderBy("k").collect():
-        rows, name = max((row[f"n{i}"], name) for i, name in enumerate(frames))
-        parts = min(-(-int(row["weight"]) // policy.rows_per_task), rows)
-        if parts > 1:
-            splits.setdefault(name, {})[row["k"]] = parts
-    return splits
+    if heavy is not None:
+        picked = heavy.products()
+        if picked is None:
+            return None
+        frames = {name: picked.of(df, key) for name, df in frames.items()}
+    names = list(frames)
+    weight = _weight(list(range(len(names))))
+    largest = F.array_max(F.array(*[
+        F.struct(F.col(f"n{i}").alias("n"), F.lit(name).alias("name")) for i, name in enumerate(names)
+    ]))
+    parts = F.least(F.ceil(weight / policy.rows_per_task), F.col("_most.n"), F.lit((1 << 31) - 1)).cast("int")
+    chosen = (
+        _counts(frames, key)
+        .where(weight > policy.rows_per_task)
+        .withColumn("_most", largest)
+        .select(F.col("k").alias("_heavy"), F.col("_most.name").alias("_spread"), parts.alias("_parts"))
+        .where("_parts > 1")
+    )
+    rows, facts = stored(
+        chosen, "splits", **{f"c{i}": F.count_if(F.col("_spread") == name) for i, name in enumerate(names)})
+    counts = {name: facts[f"c{i}"] for i, name in enumerate(names) if facts[f"c{i}"]}
+    return Splits(rows, counts) if counts else None

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KEY
+from .skew import Splits
 
 HUB = "hub"
 _SALT, _COPIES, _HIT, _SPREAD, _PARTS = "_salt", "_copies", "_hit", "_spread", "_parts"
@@ -43,13 +43,13 @@ class Satellite:
 def star_join(
     hub: DataFrame,
     satellites: list[Satellite],
-    splits: dict[str, dict[str, int]] | None = None,
+    splits: Splits | None = None,
     key: str = KEY,
 ) -> DataFrame:
     """Hub left-joined with every satellite, as a bag.
 
-    ``splits`` maps a satellite name (or ``hub``) to ``{key: parts}`` for the
-    keys to spread by it; a key appears at most once.
+    ``splits`` names the keys to spread and the satellite (or ``hub``) to
+    divide for each; a key appears at most once.
     """
     if not splits:
         out = hub
@@ -57,21 +57,11 @@ def star_join(
             out = _left_join(out, sat.rows, [key], sat.only_with)
         return out
 
-    spread = {k: (name, n) for name, keys in splits.items() for k, n in keys.items()}
-    keys = sorted(spread)
-    heavy = hub.sparkSession.createDataFrame(
-        pa.table({
-            "_heavy": pa.array(keys, pa.string()),
-            _SPREAD: pa.array([spread[k][0] for k in keys], pa.string()),
-            _PARTS: pa.array([spread[k][1] for k in keys], pa.int32()),
-        })
-    )
-    out = _salted(HUB, hub, heavy, splits.get(HUB), key)
+    out = _salted(HUB, hub, splits, key)
     # The hub keeps its key's spread name, to tell empty salts from missing rows.
     for sat in satellites:
-        mine = splits.get(sat.name)
-        rows = _salted(sat.name, sat.rows, heavy, mine, key).drop(_SPREAD)
-        if not mine:
+        rows = _salted(sat.name, sat.rows, splits, key).drop(_SPREAD)
+        if sat.name not in splits.counts:
             out = _left_join(out, rows.drop(_COPIES), [key, _SALT], sat.only_with)
             continue
         rows = rows.withColumnRenamed(_COPIES, "_more").withColumn(_HIT, F.lit(True))
@@ -98,14 +88,12 @@ def _left_join(left: DataFrame, right: DataFrame, on: list[str], only_with: str
     return left.join(right, condition, "left").drop(*[f"_right{c}" for c in on])
 
 
-def _salted(name, rows, heavy, mine, key):
+def _salted(name: str, rows: DataFrame, splits: Splits, key: str) -> DataFrame:
     """Rows with a salt, a number of copies and the spread name of their key."""
-    repeated = rows
-    if mine:
-        repeated = rows.where(F.coalesce(~F.col(key).isin(list(mine)), F.lit(True)))
-    # ``heavy`` is a local list of at most a few hundred keys.
+    table = splits.table()
+    tagged = rows.join(table, F.col(key) == F.col("_heavy"), "left").drop("_heavy")
     repeated = (
-        repeated.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left")
+        tagged.where(F.col(_SPREAD).isNull() | (F.col(_SPREAD) != name))
         .withColumn(
             _SALT,
             F.explode(
@@ -115,16 +103,15 @@ def _salted(name, rows, heavy, mine, key):
             ),
         )
         .withColumn(_COPIES, F.lit(1).cast("long"))
-        .drop("_heavy", _PARTS)
+        .drop(_PARTS)
     )
-    if not mine:
+    if name not in splits.counts:
         return repeated
     parts, copies = F.col(_PARTS), F.col(_COPIES)
     divided = (
-        rows.where(F.col(key).isin(list(mine)))
-        .groupBy(*rows.columns)
+        tagged.where(F.col(_SPREAD) == name)
+        .groupBy(*rows.columns, _SPREAD, _PARTS)
         .agg(F.count("*").alias(_COPIES))
-        .join(F.broadcast(heavy), F.col(key) == F.col("_heavy"))
         .withColumn("_start", F.pmod(F.xxhash64(*rows.columns), parts).cast("int"))
         .withColumn(
             "_share",

@@ -1,15 +1,16 @@
 """Profiles, list rows, views and stored versions."""
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.compare import spark_bag
+from checks.compare import physical_plan, spark_bag
 from checks.fixtures import feed
 from screenroll.operators import (
     assign_ids, consolidate, filter_view, master_view, publish, publish_alias, publish_base, run_summary,
 )
 from screenroll.plans.build import build_watchlist, latest_version, read_watchlist, run
-from screenroll.plans.skew import SkewPolicy, heavy_keys, split_counts
+from screenroll.plans.skew import SkewPolicy, Splits, heavy_keys, split_counts
 from screenroll.plans.star import Satellite, star_join
 from screenroll.schemas import PROFILE_COLUMNS, WATCHLIST_COLUMNS
 from screenroll.sources import collate
@@ -141,31 +142,69 @@ def test_spread_dedup(spark):
         consolidate(tables, dedup=True))
 
 
+def found(splits):
+    """Splits as ``{frame: {key: parts}}``."""
+    out = {}
+    for r in splits.rows.collect() if splits else []:
+        out.setdefault(r["_spread"], {})[r["_heavy"]] = r["_parts"]
+    assert not splits or splits.counts == {name: len(keys) for name, keys in out.items()}
+    return out
+
+
+def splits_of(spark, spread):
+    rows = [(k, name, n) for name, keys in spread.items() for k, n in keys.items()]
+    return Splits(spark.createDataFrame(rows, "_heavy string, _spread string, _parts int"),
+                  {name: len(keys) for name, keys in spread.items()})
+
+
 def test_heavy_keys_are_counted_whatever_the_size(spark):
-    df = spark.range(1000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(KEY))
-    assert heavy_keys({"t": df}) == {}
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(KEY))
     policy = SkewPolicy(rows_per_task=100)
-    assert heavy_keys({"t": df}, policy) == {"t": {"hot": 334}}
-    assert split_counts({"t": df}, policy) == {"t": {"hot": 4}}
-    assert split_counts({"t": df.where("id < 100")}, policy, sources={"t": df}) == {}
+    assert heavy_keys({"t": df}).keys("t") is None and heavy_keys({"t": df}).products() is None
+    heavy = heavy_keys({"t": df, "u": df.where("EntityGUID < '2'")}, policy, joined=["u"])
+    assert [tuple(r) for r in heavy.keys("t").rows.collect()] == [("hot", 334)] and heavy.keys("t").most == 334
+    assert heavy.keys("u") is None and heavy.products() is None
+    assert heavy.keys("t").of(df, KEY).count() == 334 and heavy.keys("t").others(df, KEY).count() == 666
+    assert found(split_counts({"t": df}, policy)) == {"t": {"hot": 4}}
+    assert found(split_counts({"t": df.where("id < 100")}, policy, heavy=heavy_keys({"t": df}, policy))) == {}
 
 
 def test_one_key_in_a_tiny_file_is_split(spark, tmp_path):
     path = str(tmp_path / "hot")
     spark.range(3_000_000).select(F.lit("hot").alias(KEY)).write.parquet(path)
-    assert split_counts({"t": spark.read.parquet(path)}) == {"t": {"hot": 2}}
+    assert found(split_counts({"t": spark.read.parquet(path)})) == {"t": {"hot": 2}}
 
 
 def test_products_of_a_key_are_split(spark):
     rows = spark.range(900).select(F.lit("hot").alias(KEY))
-    assert split_counts({"a": rows, "b": rows}, SkewPolicy(rows_per_task=1000)) == {"b": {"hot": 810}}
+    assert found(split_counts({"a": rows, "b": rows}, SkewPolicy(rows_per_task=1000))) == {"b": {"hot": 810}}
 
 
 def test_all_heavy_keys_are_split(spark):
     rows = spark.range(20_000).select((F.col("id") % 20).cast("string").alias(KEY))
-    found = split_counts({"t": rows}, SkewPolicy(rows_per_task=500))
-    assert found == {"t": {str(k): 2 for k in range(20)}}
+    got = split_counts({"t": rows}, SkewPolicy(rows_per_task=500))
+    assert found(got) == {"t": {str(k): 2 for k in range(20)}}
+
+
+def test_a_million_heavy_keys_do_not_reach_the_driver(spark, monkeypatch):
+    """They stay a table, beyond the size for broadcasts a shuffled one, and the join is the same."""
+    keys = spark.range(1_000_000).select(F.col("id").cast("string").alias(KEY))
+    many = keys.select(KEY, F.explode(F.array(F.lit(1), F.lit(2), F.lit(2))).alias("m"))
+    for name in ("collect", "toArrow", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(DataFrame, name, lambda self, *a, **b: pytest.fail("rows of a table reached the driver"))
+    policy = SkewPolicy(rows_per_task=2)
+    heavy = heavy_keys({"hub": keys, "many": many}, policy)
+    assert heavy.facts["products"] == 1_000_000 and heavy.keys("many").count == 1_000_000
+    splits = split_counts({"hub": keys, "many": many}, policy, heavy=heavy)
+    assert splits.counts == {"many": 1_000_000}
+    joined = star_join(keys, [Satellite("many", many)], splits)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in physical_plan(joined)
+        monkeypatch.undo()
+        assert joined.agg(F.count("*"), F.sum("m"), F.count_distinct(KEY)).first() == (3_000_000, 5_000_000, 1_000_000)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("spread", [
@@ -181,7 +220,7 @@ def test_salted_star_equals_plain_star(spark, spread):
         [("a", 7)] * 11 + [("b", 1), ("b", 2), ("b", 2)] + [("c", i) for i in range(9)],
         "EntityGUID string, p int")
     satellites = [Satellite("many", many), Satellite("part", part, only_with="HasMany")]
-    assert spark_bag(star_join(hub, satellites, spread)) == spark_bag(star_join(hub, satellites))
+    assert spark_bag(star_join(hub, satellites, splits_of(spark, spread))) == spark_bag(star_join(hub, satellites))
 
 
 def test_copies_are_spread_evenly(spark):
@@ -189,10 +228,10 @@ def test_copies_are_spread_evenly(spark):
     many = spark.range(100_000).select(F.lit("a").alias(KEY), F.lit(1).alias("m"))
     from screenroll.plans.star import _salted
 
-    heavy = spark.createDataFrame([("a", "many", 8)], "_heavy string, _spread string, _parts int")
-    rows = _salted("many", many, heavy, {"a": 8}, KEY)
+    splits = splits_of(spark, {"many": {"a": 8}})
+    rows = _salted("many", many, splits, KEY)
     assert [r["_copies"] for r in rows.collect()] == [12_500] * 8
-    assert star_join(hub, [Satellite("many", many)], {"many": {"a": 8}}).count() == 100_000
+    assert star_join(hub, [Satellite("many", many)], splits).count() == 100_000
 
 
 # --- publishing -----------------------------------------------------------------------
