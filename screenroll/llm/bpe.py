@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from itertools import islice
 from pathlib import Path
 from struct import pack
@@ -41,6 +42,32 @@ CLOSED, GONE = 1 << 60, -1
 _CODECS: dict[bytes, Codec] = {}
 
 
+def _plain_split(pattern: str) -> re.Pattern | None:
+    """The same pattern for the faster built-in engine, valid for texts within the basic plane.
+
+    Its character classes become the ranges that the other engine finds; None if there are others.
+    """
+    plane = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    ranges = {}
+    for name in (r"\p{L}", r"\p{N}", r"\s", r"\S"):
+        runs = regex.findall(f"{name}+", plane)
+        # The gap of the surrogates is no part of any text.
+        ranges[name] = "".join(rf"\u{ord(r[0]):04x}-\u{ord(r[-1]):04x}" for r in runs)
+    out, at, inside = [], 0, False
+    while at < len(pattern):
+        name = next((n for n in ranges if pattern.startswith(n, at)), None)
+        if name:
+            out.append(ranges[name] if inside else f"[{ranges[name]}]")
+            at += len(name)
+        elif pattern[at] == "\\":
+            return None
+        else:
+            inside = pattern[at] == "[" or inside and pattern[at] != "]"
+            out.append(pattern[at])
+            at += 1
+    return re.compile("".join(out))
+
+
 class RankQueue:
     """Positions by rank; ``first`` gives the smallest rank that has any."""
 
@@ -89,28 +116,34 @@ class Codec:
         self.size = max(self.tokens) + 1
         self.widths = {rank: len(token) for rank, token in self.tokens.items()}
         self.packed = {token: pack("<I", rank) for token, rank in self.ranks.items()}
+        width = np.zeros(self.size, np.int64)
+        width[list(self.tokens)] = [len(t) for t in self.tokens.values()]
+        self.width, self.place = width, np.cumsum(width) - width
+        self.bytes = np.frombuffer(b"".join(self.tokens.get(r, b"") for r in range(self.size)), np.uint8)
+        self.single = np.array([self.ranks.get(bytes([b]), 0) for b in range(256)])
         self.byte_pairs = np.full(1 << 16, -1, np.int64)
         for token, rank in self.ranks.items():
             if len(token) == 2:
                 self.byte_pairs[token[0] << 8 | token[1]] = rank
-        self.split = regex.compile(pattern)
+        self.split, self.plain_split = regex.compile(pattern), _plain_split(pattern)
         self.queue = RankQueue(self.size)  # empty again after every piece
         self.known: dict[str, bytes] = {}
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece; one queue serves all of them, a closed slot stands after each."""
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece; one queue serves all of them, a closed slot stands after each."""
         data = b"\0".join(pieces) + b"\0"
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         closed = np.cumsum(lengths + 1) - 1
         starts = closed - lengths
-        after, before = list(range(1, len(data) + 1)), list(range(-1, len(data) - 1))
-        for p in closed.tolist():
-            after[p] = CLOSED
-        for p in starts.tolist():
-            before[p] = -1
+        slots = np.frombuffer(data, np.uint8)
+        after, before = np.arange(1, len(data) + 1), np.arange(-1, len(data) - 1)
+        after[closed], before[starts] = CLOSED, -1
+        token = self.single[slots]
+        token[closed] = GONE
+        after, before, token = after.tolist(), before.tolist(), token.tolist()
         queue, buckets, push = self.queue, self.queue.buckets, self.queue.push
         ranks, longest, widths = self.ranks.get, self.longest, self.widths
-        self._push_byte_pairs(np.frombuffer(data, np.uint8), closed)
+        self._push_byte_pairs(slots, closed)
         while (rank := queue.first()) is not None:
             bucket, width, lower = buckets[rank], widths[rank], False
             bucket.sort(reverse=True)
@@ -122,7 +155,8 @@ class Codec:
                     continue
                 end = after[p] = after[q]
                 before[end] = p
-                after[q] = GONE
+                token[p] = rank
+                after[q] = token[q] = GONE
                 far, left = after[end], before[p]
                 if far - p <= longest:
                     found = ranks(data[p:far])
@@ -142,14 +176,12 @@ class Codec:
                             push(found, left)
             if not bucket:
                 queue.drop(rank)
-        out, rank_of = [], self.ranks
-        for p, stop in zip(starts.tolist(), closed.tolist(), strict=True):
-            ids = []
-            while p < stop:
-                ids.append(rank_of[data[p:after[p]]])
-                p = after[p]
-            out.append(ids)
-        return out
+        ids = np.array(token)
+        alive = ids != GONE
+        ends = np.cumsum(alive)
+        packed = ids[alive].astype("<u4").tobytes()
+        cuts = (4 * np.concatenate([[0], ends[closed]])).tolist()
+        return [packed[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def _push_byte_pairs(self, data: np.ndarray, closed: np.ndarray) -> None:
         """Fill the queue with all pairs of single bytes that are tokens."""
@@ -165,8 +197,10 @@ class Codec:
 
     def pieces(self, text: str):
         """Lists of the pieces of a text, in order; one list unless the text is very long."""
+        # Two bytes a character in UTF-16 say that none is beyond the basic plane.
+        plain = len(text) <= LONG_TEXT and len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
         if len(text) <= LONG_TEXT:
-            yield self.split.findall(text)
+            yield (self.plain_split if plain and self.plain_split else self.split).findall(text)
             return
         found = (m.group() for m in self.split.finditer(text))
         while chunk := list(islice(found, LONG_TEXT // 8)):
@@ -187,21 +221,30 @@ class Codec:
         return [b"".join(parts) for parts in out]
 
     def _flush(self, held: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
-        known = self.known
-        if len(known) >= REMEMBERED:
-            known.clear()
-        fresh = list({piece for _, chunk in held for piece in chunk}.difference(known))
+        known, used = self.known, set()
+        for _, chunk in held:
+            used.update(chunk)
+        fresh = list(used.difference(known))
+        if len(known) + len(fresh) > REMEMBERED:
+            # Frequent pieces are most likely among the present ones.
+            self.known = known = {p: known[p] for p in used if p in known}
         plain = [(p, p.encode()) for p in fresh]
         known.update((p, self.packed[b]) for p, b in plain if b in self.packed)
         plain = [(p, b) for p, b in plain if b not in self.packed]
         merged = self.merge([b for _, b in plain]) if plain else []
-        for (piece, _), ids in zip(plain, merged, strict=True):
-            known[piece] = pack(f"<{len(ids)}I", *ids)
+        known.update((piece, ids) for (piece, _), ids in zip(plain, merged, strict=True))
         for i, chunk in held:
             out[i].append(b"".join(map(known.__getitem__, chunk)))
 
     def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        """The bytes of all tokens, gathered from one table."""
+        ids, parts = np.frombuffer(packed, "<u4"), []
+        for start in range(0, len(ids), LONG_TEXT // 4):
+            own = ids[start:start + LONG_TEXT // 4].astype(np.int64)
+            width = self.width[own]
+            ends = np.cumsum(width)
+            parts.append(self.bytes[np.repeat(self.place[own] - ends + width, width) + np.arange(ends[-1])].tobytes())
+        return b"".join(parts)
 
 
 def codec(rank_file: bytes, pattern: str) -> Codec:
