@@ -1,5 +1,10 @@
 """The corpus pipeline, and the queries of the corpus operators.
 
+Defined for every stage: NULL and empty texts are documents like others; rows without an id stay unless
+their text is rejected or holds a benchmark item; repeated rows of an id stay or go together as near copies;
+an empty table gives an empty one; other columns, whatever their names, are carried along (the last stage
+replaces those named like its own).
+
 Each stage takes the rows that its predecessor kept. Rows go for low quality, for being a near copy
 of a document that stays, or for holding benchmark items; personal data is masked in the texts
 (``n_chars`` follows); the last stage adds the ids of every text, whose decoding is checked.
@@ -41,19 +46,25 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by the name of its kind."""
-    masked = pii.redact(pii.find_pii(docs)).drop("pii")
+    # The operator's column must not replace one of the documents.
+    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c.lower() == "pii"}
+    masked = pii.redact(pii.find_pii(docs.withColumnsRenamed(own))).drop("pii")
+    masked = masked.withColumnsRenamed({new: c for c, new in own.items()})
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return masked.select(*docs.columns)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their packed ids, number of ids, and whether these decode to the text."""
+    """All documents with their packed ids, number of ids, and whether these decode to the text.
+
+    Columns of the documents named like one of these, or ``decoded``, are replaced.
+    """
     ship(spark)
-    decoded = bpe.decode(bpe.encode(docs, **BPE), **BPE)
+    kept = [c for c in docs.columns if c.lower() not in ("ids", "n_tokens", "intact", "decoded")]
+    decoded = bpe.decode(bpe.encode(docs.select(*kept), **BPE), **BPE)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return decoded.select(
-        *docs.columns, "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), same.alias("intact"))
+    return decoded.select(*kept, "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), same.alias("intact"))
 
 
 STAGES = [

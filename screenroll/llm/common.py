@@ -1,4 +1,4 @@
-"""Helpers of the corpus operators: shared folder, staged tables, splits, Arrow texts."""
+"""Helpers of the corpus operators: staged tables, splits, Arrow texts."""
 
 from __future__ import annotations
 
@@ -7,16 +7,29 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.shared import shared_folder
+
 BROADCAST_BYTES = 32 << 20
+#: Bytes of rows that Spark sends to a Python worker at a time, and of texts that a worker takes on at once.
+BATCH_BYTES, SLICE_BYTES = 4 << 20, 2 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application; they need not have it installed."""
+    """Send this package to the executors, once per application; they need not have it installed.
+
+    Bounds the batches that go to Python workers by bytes, unless the session has a smaller bound.
+    """
+    held = spark.conf.get(_BATCH_SETTING).rstrip("bB")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent
@@ -26,17 +39,8 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(app)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see; a local one only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='corpus-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -66,11 +70,19 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches, rows: int = 512):
-    """Arrow batches cut small, so that Python objects of few texts exist at a time."""
+def slices(batches, rows: int = 512, most: int = SLICE_BYTES):
+    """Arrow batches cut small by rows and bytes of text, so that Python objects of few texts exist at a time."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        size = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(size), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = min(max(int(np.searchsorted(ends, before + most, "right")), start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def let(value: Column, body) -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, slices, small_or_plain, stage
+from .common import byte_texts, slices, stage
 from .tokens import ngram_hashes, word_hashes
 
 SEED_WORDS = 3
@@ -189,7 +189,14 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
 
 
 def keep_clean(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` into which no item leaked; rows without an id stay."""
-    found = stage(find_leaks(df, benchmark, key, text), "leaks")
-    gone = stage(found.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct(), "leak-ids")
-    return df.join(small_or_plain(gone, gone.count(), 16), F.col(key).cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``df`` into which no item leaked; each row is judged by its own text, whatever its id."""
+    def without(items: Items):
+        def clean(texts: pa.Array) -> pa.Array:
+            leaks = (items.leaks(words_of(t), THRESHOLD) for t in byte_texts(texts))
+            return pa.array([next(iter(found), None) is None for found in leaks], pa.bool_())
+
+        return F.arrow_udf(clean, "boolean")(F.col(text))
+
+    for items in _blocks(benchmark, "item_id", "text"):
+        df = df.where(without(items))
+    return df

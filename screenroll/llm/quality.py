@@ -183,14 +183,13 @@ def score_stats(stats: DataFrame, model: Model, key: str = "doc_id") -> DataFram
 
 
 def keep_good(df: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text scores at least ``threshold``; one narrow pass, no join."""
+    """The rows of ``df`` whose text scores at least ``threshold``; one narrow pass, no join, only texts go to Python."""
 
-    def run(batches):
-        for batch in slices(batches):
-            x = np.array([text_stats(t) for t in byte_texts(batch.column(text))]).reshape(-1, N_STATS)
-            yield batch.filter(pa.array(model.score(x) >= threshold))
+    def good(texts: pa.Array) -> pa.Array:
+        x = np.array([text_stats(t) for t in byte_texts(texts)]).reshape(-1, N_STATS)
+        return pa.array(model.score(x) >= threshold)
 
-    return df.mapInArrow(run, df.schema)
+    return df.where(F.arrow_udf(good, "boolean")(F.col(text)))
 
 
 def learnable(df: DataFrame, key: str = "doc_id") -> DataFrame:

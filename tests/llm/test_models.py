@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from screenroll.llm import decontaminate, jaccard, pii, quality, toxicity
-from screenroll.llm.common import read, remainder, stage
+from test_whole_job import brute_firsts
+from screenroll.llm import decontaminate, pii, quality, toxicity
+from screenroll.llm.common import read, remainder, ship, slices, stage
 
 SF = "/root/testdata/sf0.01"
 
@@ -61,8 +62,7 @@ def test_pipeline_stages_take_effect(spark):
     scores = quality.score_stats(quality.stats_table(start), model).where(F.col("score") >= quality.THRESHOLD)
     assert {r.doc_id for r in scores.collect()} == {r.doc_id for r in end.collect()}
     start, end = kept["near_copies"]
-    firsts = jaccard.join_components(start).where("doc_id = component_id")
-    assert {r.doc_id for r in firsts.collect()} == {r.doc_id for r in end.collect()}
+    assert brute_firsts([(r.doc_id, r.text) for r in start.collect()], 5, 80, 100) == {r.doc_id for r in end.collect()}
     start, end = kept["decontamination"]
     leaks = {r.doc_id for r in decontaminate.find_leaks(start, read(spark, SF, "benchmark")).collect()}
     assert leaks and {r.doc_id for r in start.collect()} - leaks == {r.doc_id for r in end.collect()}
@@ -71,3 +71,42 @@ def test_pipeline_stages_take_effect(spark):
     assert pii.report(end).where("n_email + n_ip + n_card + n_phone > 0").count() == 0
     start, end = kept["tokens"]
     assert start.count() == end.count() and end.where("not intact or n_tokens is null").count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_any_input(spark, documents, name):
+    """NULL ids and texts, repeated rows, clashing names, empty tables."""
+    stage_of = dict(corpus_pipeline.STAGES)[name]
+    words = " ".join(r.text for r in read(spark, SF, "documents").where("lang = 'en'").limit(3).collect())
+    rows = [(1, words), (None, words), (2, None), (3, ""), (3, ""), (None, None), (4, "call me at a@b.org or +1 555 123 4567")]
+    clash = dict.fromkeys(["pii", "ids", "n_tokens", "intact", "decoded", "set", "n", "score", "stats", "item_id", "component_id", "n_chars"], "1")
+    docs = documents(rows, **clash)
+    out = stage_of(spark, docs, SF)
+    kept = stage(out, "test-any")
+    assert len({c.lower() for c in kept.columns}) == len(kept.columns) and set(docs.columns) - set(kept.columns) <= {"decoded"}
+    assert 0 <= kept.count() <= len(rows)
+    assert stage_of(spark, docs.where("false"), SF).count() == 0
+    if name == "decontamination":
+        item = read(spark, SF, "benchmark").first().text
+        assert stage_of(spark, documents([(None, item), (5, item), (5, words)]), SF).collect()[0].text == words
+
+
+def test_slices_are_bounded_by_rows_and_bytes(spark):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * n for n in (10, 10, 50, 10, 200, 5, 5, 5, 5)] + [None], "n": list(range(10))})
+    cut = [b.column("n").to_pylist() for b in slices([batch], rows=3, most=60)]
+    assert cut == [[0, 1], [2, 3], [4], [5, 6, 7], [8, 9]]
+
+
+def test_batches_to_workers_are_bounded(spark):
+    import pyarrow as pa
+
+    ship(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    rows = read(spark, "/root/testdata/sf0.1", "documents").select("text").mapInArrow(sizes, "size long").collect()
+    assert max(r["size"] for r in rows) < 6 << 20

@@ -1,6 +1,7 @@
 """Operators find all that they are for: leaks, near copies and notices that narrower rules miss."""
 
 import random
+import re
 
 import corpus_pipeline
 from screenroll.llm import decontaminate, jaccard, licenses
@@ -44,7 +45,7 @@ def brute_firsts(rows, n, link, of):
     """Smallest ids of the groups of texts linked by their n-word shingles."""
     sets = []
     for _, t in rows:
-        w = t.lower().split()
+        w = re.findall("[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t))
         sets.append({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} or {tuple(w)})
     label = {d: d for d, _ in rows}
     for a, (x, _) in enumerate(rows):
