@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,11 @@ from screenroll.operators import (
     merge_national_ids, merge_remarks, merge_sources, merge_text, pep_entities, pivot_other_ids,
     publish, publish_alias, publish_base, run_summary, slot_pivot,
 )
-from screenroll.plans.build import build_watchlist
+from screenroll.plans.build import build_watchlist, read_summary, read_watchlist, run
 from screenroll.plans.shared import shared_folder
-from screenroll.schemas import KEY
-from screenroll.sources import load_audit, read_feed, stage_feed
+from screenroll.schemas import FEED, KEY
+from screenroll.sources import load_audit, read_feed, stage_feed, staged_tables
+from screenroll.sources.buckets import bucket_feed, over_buckets
 
 from .fixtures import FEED_NAMES, feed, view, view_sql
 from .oracle import RUN_TS, VERSION, answer
@@ -84,6 +86,74 @@ FEED_BAD_SQL = """
     from orders where o_orderkey%97=0 or o_orderkey%101=0 group by 1, 2"""
 
 
+# Columns that the stand-in of each feed table has.
+STAND_IN_COLUMNS = {
+    "Country": "tISO tCountry",
+    "Entity": "EntityGUID EntityTypeDesc Gender Name FirstName MiddleName LastName Title EntityID",
+    "EntityAddress": "EntityGUID AddressTypeDesc Address1 Address2 City ISOStandard",
+    "EntityAlias": "EntityGUID EntityAliasGUID AliasTypeDesc Name FirstName MiddleName LastName",
+    "EntityCountryAssociation": "EntityGUID AssociationTypeDesc AdministrativeUnitName ISOStandard",
+    "EntityDOB": "EntityGUID BirthYear BirthMonth BirthDay",
+    "EntityEnforcement": "EntityGUID SourceName",
+    "EntityIdentification": "EntityGUID IdentificationTypeDesc IdentificationNumber",
+    "EntityRemark": "EntityGUID Remark",
+    "EntitySanction": "EntityGUID SourceName",
+    "EntitySourceItem": "EntityGUID SourceURI",
+}
+_BREAKS = "\n\r|"
+
+
+def _staged(spark: SparkSession, d: str) -> str:
+    """All stand-in tables written as feed files and loaded; the folder of the load."""
+    folder, target = _scratch(spark), _scratch(spark)
+    for table, rows in feed(spark, d).items():
+        texts = {c: F.translate(F.col(c), _BREAKS, "   ") for c in STAND_IN_COLUMNS[table].split()}
+        columns = [texts.get(c, F.lit(None).cast("string")).alias(c) for c in FEED[table]]
+        rows.select(*columns).write.option("sep", "|").option("header", True).option("quote", "").option(
+            "escape", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(f"{folder}/{table}.txt")
+    stage_feed(spark, folder, target)
+    return target
+
+
+def _staged_rows(spark: SparkSession, d: str) -> DataFrame:
+    tables = staged_tables(spark, _staged(spark, d))
+    lines = [
+        tables[table].select(F.lit(table).alias("Table"), F.concat_ws("|", *[
+            F.coalesce(c, F.lit("")) for c in columns.split()]).alias("Line"))
+        for table, columns in STAND_IN_COLUMNS.items()
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
+#: The stand-ins as they come out of feed files: an empty field is NULL.
+STAGED = {
+    view: "select " + ", ".join(
+        f"nullif(translate({c}, chr(10)||chr(13)||'|', '   '), '') {c}" for c in STAND_IN_COLUMNS[table].split())
+    + f" from ({view_sql(view)})"
+    for table, view in FEED_NAMES.items()
+}
+
+STAGED_ROWS_SQL = " union all ".join(
+    f"""select '{table}' "Table", concat_ws('|', """
+    + ", ".join(f"coalesce({c}, '')" for c in STAND_IN_COLUMNS[table].split()) + f""") "Line" from ({STAGED[view]})"""
+    for table, view in FEED_NAMES.items()
+)
+
+
+def _written(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """From feed files to the stored list and its summary."""
+    root = _scratch(spark)
+    run(staged_tables(spark, _staged(spark, d)), root, VERSION, RUN_TS, dense_ids=True)
+    return read_watchlist(spark, root), read_summary(spark, root)
+
+
+def _written_ids(spark: SparkSession, d: str) -> DataFrame:
+    return _written(spark, d)[0].agg(
+        F.count("*").alias("n"), F.count_distinct("ID").alias("distinct_ids"),
+        F.min("ID").alias("first_id"), F.max("ID").alias("last_id"))
+
+
 def _read_good(spark: SparkSession, d: str) -> DataFrame:
     return read_feed(spark, _feed_file(spark, d), "EntityAddress", max_errors=None)[0]
 
@@ -138,6 +208,10 @@ REGISTRY: dict[str, tuple[Query, str]] = {
     "read_feed": (_read_good, FEED_GOOD_SQL),
     "read_feed_bad_rows": (_read_bad, FEED_BAD_SQL),
     "stage_feed": (_staged_audit, FEED_COUNTS_SQL),
+    "stage_feed_rows": (_staged_rows, STAGED_ROWS_SQL),
+    "run_written_list": (lambda spark, d: _written(spark, d)[0].drop("ID"), answer("published", STAGED)),
+    "run_written_ids": (_written_ids, answer("id_facts", STAGED)),
+    "run_written_summary": (lambda spark, d: _written(spark, d)[1], answer("summary_rows", STAGED)),
     "load_audit_bad_rows": (_audit_with_bad_rows, FEED_COUNTS_SQL),
     "load_audit": (
         lambda spark, d: load_audit(feed(spark, d)),
@@ -252,6 +326,10 @@ REGISTRY: dict[str, tuple[Query, str]] = {
         lambda spark, d: publish(_profiles(spark, d), view(spark, d, "alias"), VERSION, RUN_TS),
         answer("published")),
     "build_watchlist": (_watchlist, answer("published")),
+    "build_watchlist_bucketed": (
+        lambda spark, d: over_buckets(
+            build_watchlist, bucket_feed(feed(spark, d), _scratch(spark), 8), VERSION, RUN_TS),
+        answer("published")),
     "build_watchlist_dedup": (
         lambda spark, d: _watchlist(spark, d, dedup=True),
         answer("published", {

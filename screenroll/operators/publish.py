@@ -6,12 +6,12 @@ from datetime import datetime, timezone
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import encode_entity_type, fit, full_name
 from ..plans.shared import small, stored
-from ..plans.skew import DEFAULT_POLICY, SkewPolicy, heavy_keys, split_counts
+from ..plans.skew import DEFAULT_POLICY, NO_SKEW, SkewPolicy, heavy_keys, split_counts
 from ..plans.star import HUB, Satellite, star_join
 from ..schemas import EXCLUDED_ALIAS_TYPES, ID_SLOTS, KEY, WATCHLIST_COLUMNS
 
@@ -36,13 +36,21 @@ def listed_aliases(alias: DataFrame) -> DataFrame:
     )
 
 
-def alias_satellite(alias: DataFrame) -> Satellite:
+def alias_satellite(alias: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> Satellite:
     """Aliases plus one mark per entity that has any.
 
     A left join with it gives a row for each alias and one for the entity
     itself, so base and alias rows come from a single pass over the profiles.
+    Without heavy entities the first alias of each makes the mark, which keeps
+    the rows where they are.
     """
     rows = listed_aliases(alias)
+    if policy == NO_SKEW:
+        nth = F.row_number().over(Window.partitionBy(KEY).orderBy(KEY))
+        kinds = F.when(nth == 1, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+        both = rows.withColumn("_kinds", kinds).withColumn("_alias", F.explode("_kinds"))
+        names = [F.when(F.col("_alias"), F.col(c)).alias(c) for c in rows.columns if c not in (KEY, "_alias")]
+        return Satellite(ALIAS, both.select(KEY, "_alias", *names), source=rows)
     marks = rows.select(KEY).distinct().withColumn("_alias", F.lit(False))
     return Satellite(ALIAS, rows.unionByName(marks, allowMissingColumns=True), source=rows)
 
@@ -122,7 +130,7 @@ def publish(
 
     Heavy keys are picked by the rows of ``sources``, else of stored profiles and aliases.
     """
-    satellite = alias_satellite(alias)
+    satellite = alias_satellite(alias, policy)
     heavy = heavy_keys(sources, policy) if sources else None
     splits = split_counts({HUB: profiles.select(KEY), ALIAS: satellite.rows}, policy, heavy=heavy)
     return list_rows(star_join(profiles, [satellite], splits), version_id, run_ts)

@@ -35,7 +35,7 @@ def build_watchlist(
         listed = publish(profiles, alias, version_id, run_ts, policy, sources)
         return listed.unionByName(publish_base(anonymous, version_id, run_ts))
     rows = joined_attributes(
-        tables, row_limit, False, policy, last=alias_satellite(alias), **options
+        tables, row_limit, False, policy, last=alias_satellite(alias, policy), **options
     )
     return list_rows(with_list_type(rows), version_id, run_ts)
 

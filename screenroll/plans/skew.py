@@ -8,6 +8,7 @@ how many rows they have, nothing else.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,6 +30,8 @@ class SkewPolicy:
 
 
 DEFAULT_POLICY = SkewPolicy()
+#: For tables that are known to have no heavy key: nothing is counted.
+NO_SKEW = SkewPolicy(rows_per_task=1 << 62)
 
 
 @dataclass(frozen=True)
@@ -70,7 +73,7 @@ class Heavy:
     by the product of the ``joined`` frames.
     """
 
-    rows: DataFrame
+    rows: DataFrame | None
     frames: tuple[str, ...]
     facts: dict[str, int]
     policy: SkewPolicy
@@ -127,6 +130,8 @@ def heavy_keys(
     The rows of every key are counted exactly, in one pass over the key columns.
     """
     names = tuple(frames)
+    if policy == NO_SKEW:
+        return Heavy(None, names, defaultdict(int), policy)
     some = [F.col(f"n{i}") > policy.rows_per_task for i in range(len(names))]
     weight = _weight([names.index(n) for n in (names if joined is None else joined)])
     counted = _counts(frames, key).withColumn("product", weight > policy.rows_per_task)
@@ -152,6 +157,8 @@ def split_counts(
     frames. The frame with most rows of a key is divided, into at most as many parts as it has rows.
     None if there is nothing to spread.
     """
+    if policy == NO_SKEW:
+        return None
     if heavy is not None:
         picked = heavy.products()
         if picked is None:
