@@ -229,19 +229,54 @@ def hub_pairs(lists: DataFrame, rule: Rule = RULE) -> DataFrame:
     return lists.mapInArrow(run, _PAIR).distinct()
 
 
-def cross_pairs(lists: DataFrame, roots: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """Pairs of a list that can be linked by size and position and are not answered yet.
+def _folded(bits: np.ndarray) -> np.ndarray:
+    half = len(bits) // 2
+    return bits[:half] ^ bits[half:]
+
+
+class Maps:
+    """Bitmaps of the entries of a list, side by side for each width that two of them can have in common."""
+
+    def __init__(self, bits: list[np.ndarray]):
+        self.width = np.array([len(b) for b in bits])
+        self.rows, self.maps = {}, {}
+        for w in np.unique(self.width).tolist():
+            own, wider = np.flatnonzero(self.width == w), np.flatnonzero(self.width == 2 * w)
+            self.rows[w] = np.full(len(bits), -1)
+            self.rows[w][np.concatenate([own, wider])] = np.arange(len(own) + len(wider))
+            self.maps[w] = np.stack([bits[k] for k in own] + [_folded(bits[k]) for k in wider])
+
+    def differ(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Least number of elements in which entry ``i`` differs from others; none where widths are too far apart."""
+        out = np.zeros(len(others), np.int64)
+        common = np.minimum(self.width[others], self.width[i])
+        for w in np.unique(common).tolist():
+            at, rows = np.flatnonzero(common == w), self.rows[w]
+            at = at[(rows[others[at]] >= 0) & (rows[i] >= 0)]
+            both = self.maps[w][rows[others[at]]] ^ self.maps[w][rows[i]]
+            out[at] = np.bitwise_count(both).sum(axis=1)
+        return out
+
+
+def cross_pairs(lists: DataFrame, roots: DataFrame, classes: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """Pairs of a list that can be linked by size, position and bitmaps and are not answered yet.
 
     Answered are pairs in one component and pairs with one hub (``roots`` has both for the sets
-    that have them). Blocks of one list are paired where their sizes reach each other.
+    that have them). Blocks of one list are paired where their sizes reach each other. Bitmaps
+    travel only to the blocks that hold sets of several components, or are parts of longer lists.
     """
     # A closed list of two sets has no pair that its hub was not compared with.
     lists = lists.where(F.col("opened") | (F.size("sets") > 2))
     entries = lists.select("token", "part", "opened", F.explode(F.arrays_zip("n", "at", "sets")).alias("e")).select(
         "token", "part", "opened", F.col("e.n").alias("n"), F.col("e.at").alias("at"), F.col("e.sets").alias("set"))
-    known = entries.join(roots, "set", "left").select(
-        "token", "part", "opened", F.struct(
-            "n", "at", "set", F.coalesce("root", "set").alias("root"), "hub").alias("e"))
+    placed = stage(entries.join(roots, "set", "left").select(
+        "token", "part", "opened", "n", "at", "set", F.coalesce("root", "set").alias("root"), "hub"), "jaccard-entries")
+    mixed = stage(placed.groupBy("token", "part").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.max("opened").alias("cut")
+    ).where("cut or low != high").select("token", "part"), "jaccard-mixed")
+    held = placed.join(small_or_plain(mixed, mixed.count(), 48), ["token", "part"], "left_semi")
+    known = held.join(classes.select("set", "bits"), "set").select(
+        "token", "part", "opened", F.struct("n", "at", "set", "root", "hub", "bits").alias("e"))
     blocks = known.groupBy("token", "part", "opened").agg(
         F.collect_list("e").alias("e"), F.min("e.n").alias("low"), F.max("e.n").alias("high"),
         F.min("e.root").alias("first"), F.max("e.root").alias("last"))
@@ -261,14 +296,14 @@ def cross_pairs(lists: DataFrame, roots: DataFrame, rule: Rule = RULE) -> DataFr
     def arrays(entries):
         return (np.array([e["n"] for e in entries]), np.array([e["at"] for e in entries]),
                 [e["set"] for e in entries], np.unique([e["root"] for e in entries], return_inverse=True)[1],
-                [e["hub"] or e["set"] for e in entries])
+                [e["hub"] or e["set"] for e in entries], Maps([np.array(e["bits"], np.int64) for e in entries]))
 
     def run(batches):
         for batch in slices(batches, 64):
             for row in batch.to_pylist():
                 x = row["x"] if row["y"] is None else row["x"] + row["y"]
                 first = len(row["x"])
-                n, at, sets, root, hubs = arrays(x)
+                n, at, sets, root, hubs, maps = arrays(x)
                 hub = np.unique(hubs, return_inverse=True)[1]
                 out = []
                 for i in range(len(x)):
@@ -277,7 +312,10 @@ def cross_pairs(lists: DataFrame, roots: DataFrame, rule: Rule = RULE) -> DataFr
                         continue
                     j = slice(0, stop)
                     can = (root[j] != root[i]) & (hub[j] != hub[i]) & _can(n[j], at[j], n[i], at[i], rule)
-                    out += [(sets[k], sets[i]) for k in np.flatnonzero(can)]
+                    can = np.flatnonzero(can)
+                    most = (n[can] + n[i] - maps.differ(i, can)) / 2
+                    can = can[most * rule.of >= (n[can] + n[i] - most) * rule.link]
+                    out += [(sets[k], sets[i]) for k in can]
                 if out:
                     yield _pair_batch(out)
 
@@ -445,7 +483,7 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", rule
     known = members.select("set", "root", "hub").unionByName(
         roots.join(members, "set", "left_anti").withColumn("hub", F.lit(None).cast("binary")))
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(cross_pairs(lists, known, rule).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+    rest = stage(cross_pairs(lists, known, classes, rule).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
     crossed = _compared(df, classes, plausible(rest, classes, False, rule), key, text, rule)
     more = crossed.where("linked").select("a", "b").unionByName(derived)
     whole = components(linked.unionByName(more)).withColumnRenamed("node", "set").join(classes.select("set", "doc_id"), "set")
