@@ -4,24 +4,31 @@ Vectors are lifted by one coordinate so that the largest inner product becomes t
 distance. Every vector is keyed by its nearest pivot and its distance to it; sorted by that key,
 vectors are cut into blocks, each an annulus [dmin, dmax] of one pivot. For a block of queries
 the annuli are sorted by the distance they can come to at least (triangle inequality). The first
-few are searched, which gives every query a score to beat; of the others only those are searched
-whose bound can still reach it. The result is exact: bounds carry a margin above rounding, and
-scores are integers.
+few are searched, which gives every query a score to beat. From there the sorted annuli are
+followed up to the first one whose bound cannot reach the least score to beat of the query block:
+the search stops there, before any vector of the others is read. The result is exact: bounds carry
+a margin above rounding, and scores are integers.
 
-The index is a range-partitioned table: equal keys are cut into as many blocks as they need, so
-a vector that fills a third of the table is no hot key. To the driver come a bounded sample for
-the pivots and one number. Queries are joined to annuli by pivot (numbers only), then to the
-blocks; query blocks are broadcast behind a check of their size, else shuffled.
+The index is a range-partitioned table, in the order of pivot, distance and vector and then of the
+place of the row: a vector that fills a third of the table is cut into as many blocks as it needs
+and is no hot key. To the driver come a bounded sample for the pivots and two numbers. Queries are
+joined to annuli by pivot (numbers only), then to the blocks; query blocks are broadcast behind a
+check of their size, else shuffled.
+
+Vectors with a component beyond +-2**26 (``LIMIT``) are wide: distances of doubles would not bound their
+scores. They lie in blocks of their own, which are always searched, in exact integers of any size.
 
 Defined results: rows whose id or vector is NULL, or whose vector holds NULL or a non-finite
-component, take no part; shorter vectors count as padded with zeros; a component is floor(256 * x),
-kept within +-2**26 so that scores fit into a long; equal rows count once; different vectors of
-one id are ranked together; with fewer than k candidates all are returned; other columns are not
-read.
+component, take no part; shorter vectors count as padded with zeros; a component is floor(256 * x);
+a score beyond a long counts as the end of its range; every row is a candidate, repeated ones as often
+as they occur, and repeated rows or different vectors of a query's id are ranked together; with fewer
+than k candidates all are returned; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,11 +42,16 @@ BLOCK, QUERY_BLOCK = 1024, 256
 FIRST = 4
 MARGIN = 1e-6
 LIMIT = 1 << 26
+WIDE = -1
+_LONG = np.iinfo(np.int64)
 _BLOCK = ("block long, pivot int, dmin double, dmax double, rows int, width int, ids binary, vectors binary")
 
 
 def integer_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Rows that take part: id, components as packed 32-bit integers, squared length."""
+    """Rows that take part: id, packed components, squared length.
+
+    Components are 32-bit integers floor(256 * x); of wide vectors, x itself as doubles and no length.
+    """
 
     def run(batches):
         for batch in batches:
@@ -50,10 +62,14 @@ def integer_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
                 x = v.values.to_numpy(zero_copy_only=False).astype(float)
                 if not np.isfinite(x).all():
                     continue
-                whole = np.clip(np.floor(256 * x), -LIMIT, LIMIT).astype("<i4")
                 ids.append(i)
-                vectors.append(whole.tobytes())
-                squares.append(float(np.dot(whole.astype(float), whole.astype(float))))
+                if np.abs(x).max(initial=0) > LIMIT / 256:
+                    vectors.append(x.astype("<f8").tobytes())
+                    squares.append(None)
+                    continue
+                whole = np.floor(256 * x)
+                vectors.append(whole.astype("<i4").tobytes())
+                squares.append(float(np.dot(whole, whole)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), pa.array(squares, pa.float64())],
                 ["id", "v", "square"])
@@ -61,15 +77,45 @@ def integer_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(F.col(key).cast("long"), vector).mapInArrow(run, "id long, v binary, square double")
 
 
-def _matrix(packed: list[bytes], width: int | None = None) -> np.ndarray:
-    width = width or max([len(b) // 4 for b in packed], default=0)
-    out = np.zeros((len(packed), width))
+def _matrix(packed: list[bytes], kind: str = "<i4") -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    out = np.zeros((len(packed), max([len(b) // size for b in packed], default=0)))
     for row, b in zip(out, packed, strict=True):
-        x = np.frombuffer(b, "<i4")[:width]
+        x = np.frombuffer(b, kind)
         row[:len(x)] = x
     return out
 
 
+def _kind(pivot: int) -> str:
+    """How the components of a block are packed."""
+    return "<f8" if pivot == WIDE else "<i4"
+
+
+def _integers(data: bytes, rows: int, width: int, pivot: int) -> np.ndarray:
+    """The components of a block; those of wide vectors as Python integers."""
+    x = np.frombuffer(data, _kind(pivot)).reshape(rows, width)
+    if pivot != WIDE:
+        return x
+    whole = [int(c) * 256 if abs(c) >= 2 ** 53 else math.floor(c * 256) for c in x.ravel().tolist()]
+    out = np.empty(len(whole), object)
+    out[:] = whole
+    return out.reshape(rows, width)
+
+
+def _largest(x: np.ndarray) -> int:
+    return max(abs(int(x.max())), abs(int(x.min()))) if x.size else 0
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of all rows, exact, as longs."""
+    bound = max(_largest(a), 1) * max(_largest(b), 1) * max(a.shape[1], 1)
+    if bound < 2 ** 53:
+        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
+    if bound <= _LONG.max:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    return np.clip(a.astype(object) @ b.astype(object).T, int(_LONG.min), int(_LONG.max)).astype(np.int64)
+
+
 class Pivots:
     """Pivot vectors and distances to them in the lifted space."""
 
@@ -90,10 +136,13 @@ class Pivots:
 
 def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> Pivots | None:
     """Far-apart vectors of a bounded sample (the rows with the smallest hashes)."""
-    top = vectors.agg(F.max("square")).collect()[0][0]
-    if top is None:
+    rows, top = vectors.agg(F.count("*"), F.max("square")).collect()[0]
+    if not rows:
         return None
-    x = _matrix([r["v"] for r in vectors.orderBy(F.xxhash64("id"), "id").select("v").limit(sample).collect()])
+    if top is None:
+        return Pivots(np.zeros((1, 1)), 0.0)
+    usual = vectors.where(F.col("square").isNotNull())
+    x = _matrix([r["v"] for r in usual.orderBy(F.xxhash64("id"), "id").select("v").limit(sample).collect()])
     chosen, far = [0], np.full(len(x), np.inf)
     while len(chosen) < min(pivots, len(x)):
         far = np.minimum(far, Pivots(x[chosen[-1:]], top).distances(x, True)[:, 0])
@@ -104,13 +153,13 @@ def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE
 
 
 def _blocks(rows: DataFrame, block: int, one_pivot: bool) -> DataFrame:
-    """Sorted rows (pivot, distance, id, v) cut into blocks; equal rows are adjacent and kept once."""
+    """Sorted rows (pivot, distance, id, v) cut into blocks, of one pivot or of all but the wide rows."""
 
     def packed(number, held):
-        ids, vectors = [h[2] for h in held], [h[3] for h in held]
-        width = max(len(v) // 4 for v in vectors)
-        return (number, held[0][0], held[0][1], held[-1][1], len(held), width,
-                np.array(ids, "<i8").tobytes(), _matrix(vectors, width).astype("<i4").tobytes())
+        ids, kind = [h[2] for h in held], _kind(held[0][0])
+        vectors = _matrix([h[3] for h in held], kind)
+        return (number, held[0][0], held[0][1], held[-1][1], len(held), vectors.shape[1],
+                np.array(ids, "<i8").tobytes(), vectors.astype(kind).tobytes())
 
     def run(batches):
         number, held = TaskContext.get().partitionId() << 32, []
@@ -122,26 +171,29 @@ def _blocks(rows: DataFrame, block: int, one_pivot: bool) -> DataFrame:
 
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("pivot", "distance", "id", "v")), strict=True):
-                if held and row == held[-1]:
-                    continue
-                if len(held) == block or held and one_pivot and row[0] != held[0][0]:
+                apart = one_pivot or WIDE in (row[0], held[0][0] if held else row[0])
+                if len(held) == block or held and apart and row[0] != held[0][0]:
                     yield batch_of(packed(number, held))
                     number, held = number + 1, []
                 held.append(row)
         if held:
             yield batch_of(packed(number, held))
 
-    keys = ["pivot", "distance", "id", "v"]
-    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, _BLOCK)
+    keys = ["pivot", "distance", "id", "v", "place"]
+    placed = rows.withColumn("place", F.monotonically_increasing_id())
+    return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, _BLOCK)
 
 
 def _keyed(vectors: DataFrame, pivots: Pivots, lifted: bool) -> DataFrame:
     def run(batches):
         for batch in batches:
-            d = pivots.distances(_matrix(batch.column("v").to_pylist()), lifted)
+            wide = batch.column("square").is_null().to_numpy(zero_copy_only=False)
+            packed = [b"" if w else v for v, w in zip(batch.column("v").to_pylist(), wide, strict=True)]
+            d = pivots.distances(_matrix(packed), lifted)
             nearest = d.argmin(1) if len(d) else np.zeros(0, int)
+            least = np.where(wide, 0.0, d[np.arange(len(d)), nearest])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nearest.astype(np.int32)), pa.array(d[np.arange(len(d)), nearest]),
+                [pa.array(np.where(wide, WIDE, nearest).astype(np.int32)), pa.array(least),
                  batch.column("id"), batch.column("v")], ["pivot", "distance", "id", "v"])
 
     return vectors.mapInArrow(run, "pivot int, distance double, id long, v binary")
@@ -153,20 +205,29 @@ def build_index(vectors: DataFrame, pivots: Pivots) -> DataFrame:
 
 
 def _reach(queries: DataFrame, pivots: Pivots) -> DataFrame:
-    """Per query block and pivot the range of the queries' distances, and the largest squared length."""
+    """Per query block and pivot the range of the queries' distances; per block its largest squared length.
+
+    Wide queries reach every block, and every query reaches the blocks of wide vectors: NULL.
+    """
 
     def run(batches):
         for batch in batches:
-            for number, rows, width, data in zip(
-                    *(batch.column(c).to_pylist() for c in ("block", "rows", "width", "vectors")), strict=True):
-                q = np.frombuffer(data, "<i4").reshape(rows, width).astype(float)
-                d = pivots.distances(q, False)
-                n = d.shape[1]
+            for number, pivot, rows, width, data in zip(
+                    *(batch.column(c).to_pylist() for c in ("block", "pivot", "rows", "width", "vectors")), strict=True):
+                n = len(pivots.vectors)
+                near, far, square = [None] * (n + 1), [None] * (n + 1), None
+                if pivot != WIDE:
+                    q = np.frombuffer(data, "<i4").reshape(rows, width).astype(float)
+                    d = pivots.distances(q, False)
+                    near[1:], far[1:], square = d.min(0).tolist(), d.max(0).tolist(), float((q ** 2).sum(1).max())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * n), pa.array(np.arange(n, dtype=np.int32)), pa.array(d.min(0)), pa.array(d.max(0))],
-                    ["queries", "pivot", "near", "far"])
+                    [pa.array([number] * (n + 1)), pa.array([rows] * (n + 1), pa.int32()),
+                     pa.array(range(WIDE, n), pa.int32()), pa.array(near, pa.float64()), pa.array(far, pa.float64()),
+                     pa.array([square] * (n + 1), pa.float64())],
+                    ["queries", "query_rows", "pivot", "near", "far", "square"])
 
-    return queries.mapInArrow(run, "queries long, pivot int, near double, far double")
+    return queries.mapInArrow(
+        run, "queries long, query_rows int, pivot int, near double, far double, square double")
 
 
 def _search(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, pivots: Pivots, k: int) -> DataFrame:
@@ -176,27 +237,26 @@ def _search(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, pivots: Piv
         names = ["queries", "query_row", "query_id", "vec_id", "score"]
         for batch in batches:
             for row in batch.to_pylist():
-                q = np.frombuffer(row["q_vectors"], "<i4").reshape(row["q_rows"], row["q_width"])
-                x = np.frombuffer(row["vectors"], "<i4").reshape(row["rows"], row["width"])
+                q = _integers(row["q_vectors"], row["q_rows"], row["q_width"], row["q_pivot"])
+                x = _integers(row["vectors"], row["rows"], row["width"], row["pivot"])
                 width = min(q.shape[1], x.shape[1])
                 q_ids, ids = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
-                floor = np.full(len(q), -np.inf)
+                floor = np.full(len(q), _LONG.min)
                 for known in row["floors"] or ():
                     floor[known["query_row"]] = known["floor"]
-                d = pivots.distances(q.astype(float), False)[:, row["pivot"]]
-                low = np.maximum(np.maximum(d - row["dmax"], row["dmin"] - d), 0) * (1 - MARGIN)
-                best = ((q.astype(float) ** 2).sum(1) + pivots.top - low ** 2) / 2
-                use = np.flatnonzero(best * (1 + np.sign(best) * MARGIN) + 1 >= floor)
+                use = np.arange(len(q))
+                if WIDE not in (row["q_pivot"], row["pivot"]):
+                    d = pivots.distances(q.astype(float), False)[:, row["pivot"]]
+                    low = np.maximum(np.maximum(d - row["dmax"], row["dmin"] - d), 0) * (1 - MARGIN)
+                    reach = (q.astype(float) ** 2).sum(1) + pivots.top
+                    use = np.flatnonzero((reach - low ** 2) / 2 + reach * MARGIN + 1 >= floor)
                 if not len(use) or not len(x):
                     continue
-                a, b = q[use, :width], x[:, :width]
-                largest = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(width, 1)
-                kind = np.float64 if largest < 2 ** 53 else np.int64
-                scores = (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
+                scores = _products(q[use, :width], x[:, :width])
                 out = [[], [], [], []]
                 for r, own in zip(use, scores, strict=True):
                     keep = np.flatnonzero((own >= floor[r]) & (ids != q_ids[r]))
-                    keep = keep[np.lexsort((ids[keep], -own[keep]))[:k]]
+                    keep = keep[np.lexsort((ids[keep], ~own[keep]))[:k]]
                     out[0].append(np.full(len(keep), r))
                     out[1].append(np.full(len(keep), q_ids[r]))
                     out[2].append(ids[keep])
@@ -207,31 +267,50 @@ def _search(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, pivots: Piv
                      pa.array(qs), pa.array(vs), pa.array(ss)], names)
 
     own = queries.select(
-        F.col("block").alias("queries"), F.col("rows").alias("q_rows"), F.col("width").alias("q_width"),
-        F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+        F.col("block").alias("queries"), F.col("pivot").alias("q_pivot"), F.col("rows").alias("q_rows"),
+        F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     both = pairs.join(blocks, "block").join(own, "queries")
     return both.mapInArrow(run, "queries long, query_row int, query_id long, vec_id long, score long")
 
 
+def block_pairs(packed: DataFrame, blocks: DataFrame, pivots: Pivots) -> DataFrame:
+    """Per query block the annuli in the order of their bounds (``turn``), with the best score they allow (NULL: any)."""
+    annuli = blocks.select("block", "pivot", "dmin", "dmax")
+    wide = F.col("near").isNull()
+    bound = F.when(wide, 0.0).otherwise(
+        F.greatest(F.col("near") - F.col("dmax"), F.col("dmin") - F.col("far"), F.lit(0.0)))
+    low = F.col("bound") * (1 - MARGIN)
+    reach = F.col("square") + pivots.top
+    pairs = (
+        _reach(packed, pivots).join(annuli, "pivot").withColumn("bound", bound)
+        .withColumn("best", F.when(~wide, (reach - low * low) / 2 + reach * MARGIN + 1)))
+    order = Window.partitionBy("queries").orderBy("bound", "block")
+    return pairs.select(
+        "queries", "query_rows", "block", "bound", "best", F.row_number().over(order).alias("turn"))
+
+
+def still_open(pairs: DataFrame, first: DataFrame, k: int) -> DataFrame:
+    """Annuli after the first ones that can hold a better row for some query of the block, with the scores to beat."""
+    rank = Window.partitionBy("queries", "query_row").orderBy(F.desc("score"), "vec_id")
+    floors = (
+        first.withColumn("n", F.row_number().over(rank)).where(F.col("n") == k).groupBy("queries")
+        .agg(F.collect_list(F.struct("query_row", F.col("score").alias("floor"))).alias("floors"),
+             F.min("score").alias("least"), F.count("*").alias("known")))
+    rest = pairs.where(F.col("turn") > FIRST).join(floors, "queries", "left")
+    hopeless = (F.col("known") == F.col("query_rows")) & (F.col("best") < F.col("least"))
+    return rest.where(~F.coalesce(hopeless, F.lit(False))).select("queries", "block", "floors")
+
+
 def search(queries: DataFrame, pivots: Pivots, blocks: DataFrame, k: int) -> DataFrame:
     """The k best of ``blocks`` for every query vector, other than vectors of its own id."""
     packed = stage(_blocks(_keyed(queries, pivots, False), QUERY_BLOCK, False), "topk-queries")
     size = packed.agg(F.count("*"), F.max(F.octet_length("vectors"))).collect()[0]
     near = small_or_plain(packed, size[0], (size[1] or 0) + 4096)
-    annuli = blocks.select("block", "pivot", "dmin", "dmax")
-    bound = F.greatest(F.col("near") - F.col("dmax"), F.col("dmin") - F.col("far"), F.lit(0.0))
-    pairs = _reach(packed, pivots).join(annuli, "pivot").select("queries", "block", bound.alias("bound"))
-    order = Window.partitionBy("queries").orderBy("bound", "block")
-    pairs = stage(pairs.withColumn("turn", F.row_number().over(order)), "topk-pairs")
+    pairs = stage(block_pairs(packed, blocks, pivots), "topk-pairs")
     none = F.lit(None).cast("array<struct<query_row:int,floor:long>>")
-    first = stage(_search(
-        pairs.where(F.col("turn") <= FIRST).withColumn("floors", none), near, blocks, pivots, k), "topk-first")
-    rank = Window.partitionBy("queries", "query_row").orderBy(F.desc("score"), "vec_id")
-    floors = (
-        first.withColumn("n", F.row_number().over(rank)).where(F.col("n") == k)
-        .groupBy("queries").agg(F.collect_list(F.struct("query_row", F.col("score").alias("floor"))).alias("floors")))
-    rest = pairs.where(F.col("turn") > FIRST).join(floors, "queries", "left")
-    found = first.unionByName(_search(rest, near, blocks, pivots, k))
+    start = pairs.where(F.col("turn") <= FIRST).select("queries", "block", none.alias("floors"))
+    first = stage(_search(start, near, blocks, pivots, k), "topk-first")
+    found = first.unionByName(_search(still_open(pairs, first, k), near, blocks, pivots, k))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
