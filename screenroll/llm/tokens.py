@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK = 4 << 20
+#: Bytes of a text that are hashed at a time; bounds what a worker holds of very long texts.
+CHUNK = 1 << 20
 _RNG = np.random.default_rng(20240517)
 _VALUE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 _LOWER = _VALUE.copy()
