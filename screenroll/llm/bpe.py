@@ -36,10 +36,12 @@ from .common import slices
 REMEMBERED = 450_000
 #: Pieces merged together, and characters beyond which a text is split piece by piece.
 HELD_PIECES = 200_000
+#: Bytes of new pieces, beside the last one, that share one queue at a time.
+MERGED_BYTES = 1 << 18
 LONG_TEXT = 1_000_000
 #: Links of a slot between pieces and of a run that was taken over.
 CLOSED, GONE = 1 << 60, -1
-_CODECS: dict[bytes, Codec] = {}
+_CODECS: dict[tuple[type, bytes], Decoder] = {}
 
 
 def _plain_split(pattern: str) -> re.Pattern | None:
@@ -105,21 +107,42 @@ class RankQueue:
                 self.top &= ~(1 << a)
 
 
-class Codec:
+def _ranks(rank_file: bytes) -> dict[bytes, int]:
+    pairs = (line.split() for line in rank_file.splitlines() if line)
+    return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+
+class Decoder:
+    """The bytes of all tokens of a rank file in one table; all that a worker needs to decode."""
+
+    def __init__(self, rank_file: bytes, pattern: str):
+        tokens = {rank: token for token, rank in _ranks(rank_file).items()}
+        self.size = max(tokens) + 1
+        width = np.zeros(self.size, np.int64)
+        width[list(tokens)] = [len(t) for t in tokens.values()]
+        self.width, self.place = width, np.cumsum(width) - width
+        self.bytes = np.frombuffer(b"".join(tokens.get(r, b"") for r in range(self.size)), np.uint8)
+
+    def decode(self, packed: bytes) -> bytes:
+        """The bytes of all tokens, gathered from one table."""
+        ids, parts = np.frombuffer(packed, "<u4"), []
+        for start in range(0, len(ids), LONG_TEXT // 4):
+            own = ids[start:start + LONG_TEXT // 4].astype(np.int64)
+            width = self.width[own]
+            ends = np.cumsum(width)
+            parts.append(self.bytes[np.repeat(self.place[own] - ends + width, width) + np.arange(ends[-1])].tobytes())
+        return b"".join(parts)
+
+
+class Codec(Decoder):
     """Encoder and decoder for the ranks of a rank file."""
 
     def __init__(self, rank_file: bytes, pattern: str):
-        pairs = (line.split() for line in rank_file.splitlines() if line)
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.tokens = dict(zip(self.ranks.values(), self.ranks, strict=True))
+        super().__init__(rank_file, pattern)
+        self.ranks = _ranks(rank_file)
         self.longest = max(map(len, self.ranks))
-        self.size = max(self.tokens) + 1
-        self.widths = {rank: len(token) for rank, token in self.tokens.items()}
+        self.widths = self.width.tolist()
         self.packed = {token: pack("<I", rank) for token, rank in self.ranks.items()}
-        width = np.zeros(self.size, np.int64)
-        width[list(self.tokens)] = [len(t) for t in self.tokens.values()]
-        self.width, self.place = width, np.cumsum(width) - width
-        self.bytes = np.frombuffer(b"".join(self.tokens.get(r, b"") for r in range(self.size)), np.uint8)
         self.single = np.array([self.ranks.get(bytes([b]), 0) for b in range(256)])
         self.byte_pairs = np.full(1 << 16, -1, np.int64)
         for token, rank in self.ranks.items():
@@ -231,27 +254,22 @@ class Codec:
         plain = [(p, p.encode()) for p in fresh]
         known.update((p, self.packed[b]) for p, b in plain if b in self.packed)
         plain = [(p, b) for p, b in plain if b not in self.packed]
-        merged = self.merge([b for _, b in plain]) if plain else []
-        known.update((piece, ids) for (piece, _), ids in zip(plain, merged, strict=True))
+        start = size = 0
+        for i, (_, b) in enumerate(plain):
+            size += len(b)
+            if size >= MERGED_BYTES or i + 1 == len(plain):
+                group = plain[start:i + 1]
+                known.update(zip((p for p, _ in group), self.merge([b for _, b in group]), strict=True))
+                start, size = i + 1, 0
         for i, chunk in held:
             out[i].append(b"".join(map(known.__getitem__, chunk)))
 
-    def decode(self, packed: bytes) -> bytes:
-        """The bytes of all tokens, gathered from one table."""
-        ids, parts = np.frombuffer(packed, "<u4"), []
-        for start in range(0, len(ids), LONG_TEXT // 4):
-            own = ids[start:start + LONG_TEXT // 4].astype(np.int64)
-            width = self.width[own]
-            ends = np.cumsum(width)
-            parts.append(self.bytes[np.repeat(self.place[own] - ends + width, width) + np.arange(ends[-1])].tobytes())
-        return b"".join(parts)
-
 
-def codec(rank_file: bytes, pattern: str) -> Codec:
+def codec(rank_file: bytes, pattern: str, kind: type[Decoder] = Codec) -> Decoder:
     """The worker's codec for a rank file, built once per process."""
-    key = hashlib.sha256(rank_file + pattern.encode()).digest()
+    key = kind, hashlib.sha256(rank_file + pattern.encode()).digest()
     if key not in _CODECS:
-        _CODECS[key] = Codec(rank_file, pattern)
+        _CODECS[key] = kind(rank_file, pattern)
     return _CODECS[key]
 
 
@@ -280,7 +298,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", decode
     """``df`` with the bytes that its packed ids stand for; NULL ids give no bytes."""
     rank_file = Path(rank_path).read_bytes()
     return _added(df, ids, decoded, lambda column: [
-        codec(rank_file, pattern).decode(b or b"") for b in column.to_pylist()])
+        codec(rank_file, pattern, Decoder).decode(b or b"") for b in column.to_pylist()])
 
 
 def report(df: DataFrame, rank_path: str, pattern: str, key: str = "doc_id") -> DataFrame:
