@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import posixpath
 import uuid
 import zlib
@@ -35,6 +36,8 @@ from .common import new_path, slices, small_or_plain, stage
 
 FILE_BYTES = 1 << 30
 GAP_BYTES, RANGE_BYTES = 64 << 10, 8 << 20
+#: Bytes of records that a task reads, on average.
+READ_BYTES = 32 << 20
 #: Payloads from this size on are stored once; of smaller ones every record has its own.
 REVISIT_BYTES = 0
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -172,7 +175,10 @@ def read_records(index: DataFrame, root: str, payloads: bool = True) -> DataFram
                 [pa.array(c, t) for c, t in zip(columns, kinds[:n], strict=True)], names[:n])
 
     located = index.select("file", "offset", "length")
-    sorted_rows = located.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # The index is small beside its records, so tasks are counted by the bytes to read, not by those of the index.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, math.ceil(total / READ_BYTES))
+    sorted_rows = located.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return sorted_rows.mapInArrow(run, RECORD + (", html string" if payloads else ""))
 
 

@@ -223,7 +223,7 @@ def test_search_stops_at_the_bounds(spark, monkeypatch):
         [(i, [float(np.float32(c)) for c in v]) for i, v in rows])
 
 
-def test_archives_round_trip(spark, documents):
+def test_archives_round_trip(spark, documents, monkeypatch):
     rng = random.Random(10)
     bodies = [None, "", "<p>é</p>", "x" * 300000, "WARC/1.1\r\n\r\n", *(rng.choice(["a", "b", "c"]) * rng.randint(1, 3) for _ in range(60))]
     rows = [(i, f"http://h/{i}" if i % 7 else None, b) for i, b in enumerate(bodies)] + [(None, "u\r\nX: y", "a"), (3, "again", "x" * 300000)]
@@ -246,3 +246,7 @@ def test_archives_round_trip(spark, documents):
     one = warc.read_records(index.where("page_id = 2"), root).collect()
     assert [(r.html, hashlib.sha1(r.html.encode()).hexdigest()[:0]) for r in one] == [("<p>é</p>", "")]
     assert warc.report(pages.where("false")).count() == 0
+    monkeypatch.setattr(warc, "READ_BYTES", 2000)
+    several = warc.read_records(index, root)
+    assert several.rdd.getNumPartitions() > 2
+    assert sorted(map(str, several.collect())) == sorted(map(str, got))
