@@ -62,7 +62,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     ship(spark)
     kept = [c for c in docs.columns if c.lower() not in ("ids", "n_tokens", "intact", "decoded")]
-    decoded = bpe.decode(bpe.encode(docs.select(*kept), **BPE), **BPE)
+    decoded = bpe.round_trip(docs.select(*kept), **BPE)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return decoded.select(*kept, "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), same.alias("intact"))
 

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import held, slices
 
 #: Pieces whose ids a worker remembers; a speed-up only, every other piece is merged anew.
 REMEMBERED = 450_000
@@ -41,7 +41,6 @@ MERGED_BYTES = 1 << 18
 LONG_TEXT = 1_000_000
 #: Links of a slot between pieces and of a run that was taken over.
 CLOSED, GONE = 1 << 60, -1
-_CODECS: dict[tuple[type, bytes], Decoder] = {}
 
 
 def _plain_split(pattern: str) -> re.Pattern | None:
@@ -266,22 +265,20 @@ class Codec(Decoder):
 
 
 def codec(rank_file: bytes, pattern: str, kind: type[Decoder] = Codec) -> Decoder:
-    """The worker's codec for a rank file, built once per process."""
+    """The worker's codec for a rank file, built once per process while no other operator uses it."""
     key = kind, hashlib.sha256(rank_file + pattern.encode()).digest()
-    if key not in _CODECS:
-        _CODECS[key] = kind(rank_file, pattern)
-    return _CODECS[key]
+    return held(key, lambda: kind(rank_file, pattern))
 
 
-def _added(df: DataFrame, source: str, name: str, make) -> DataFrame:
-    """``df`` with a binary column made from another, slice by slice."""
-    rest = df.drop(name) if source != name else df
-    schema = rest.withColumn(name, F.lit(b"")).schema
+def _added(df: DataFrame, source: str, names: tuple[str, ...], make) -> DataFrame:
+    """``df`` with binary columns made from another column, slice by slice."""
+    rest = df.drop(*(n for n in names if n != source))
+    schema = rest.withColumns({n: F.lit(b"") for n in names}).schema
 
     def run(batches):
-        for batch in slices(batches):
-            values = pa.array(make(batch.column(source)), pa.binary())
-            columns = {n: batch.column(n) for n in batch.schema.names} | {name: values}
+        for batch in slices(batches, holds=True):
+            made = [pa.array(values, pa.binary()) for values in make(batch.column(source))]
+            columns = {n: batch.column(n) for n in batch.schema.names} | dict(zip(names, made, strict=True))
             yield pa.RecordBatch.from_arrays([columns[f] for f in schema.names], schema.names)
 
     return rest.mapInArrow(run, schema)
@@ -290,21 +287,33 @@ def _added(df: DataFrame, source: str, name: str, make) -> DataFrame:
 def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the packed ids of its texts."""
     rank_file = Path(rank_path).read_bytes()
-    return _added(df, text, ids, lambda column: codec(rank_file, pattern).encode(
-        [t or "" for t in column.to_pylist()]))
+    return _added(df, text, (ids,), lambda column: [codec(rank_file, pattern).encode(
+        [t or "" for t in column.to_pylist()])])
 
 
 def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the bytes that its packed ids stand for; NULL ids give no bytes."""
     rank_file = Path(rank_path).read_bytes()
-    return _added(df, ids, decoded, lambda column: [
-        codec(rank_file, pattern, Decoder).decode(b or b"") for b in column.to_pylist()])
+    return _added(df, ids, (decoded,), lambda column: [[
+        codec(rank_file, pattern, Decoder).decode(b or b"") for b in column.to_pylist()]])
+
+
+def round_trip(df: DataFrame, rank_path: str, pattern: str, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """``df`` with the packed ids of its texts and the bytes that these decode to, by one worker per task."""
+    rank_file = Path(rank_path).read_bytes()
+
+    def make(column):
+        own = codec(rank_file, pattern)
+        packed = own.encode([t or "" for t in column.to_pylist()])
+        return packed, [own.decode(b) for b in packed]
+
+    return _added(df, text, (ids, decoded), make)
 
 
 def report(df: DataFrame, rank_path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """One row per row of ``df``: number and digest of the ids, digest of what they decode to."""
-    ids = encode(df.select(key, "text"), rank_path, pattern).drop("text")
-    return decode(ids, rank_path, pattern).select(
+    return round_trip(df.select(key, "text"), rank_path, pattern).select(
         key,
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

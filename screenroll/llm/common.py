@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -20,6 +21,7 @@ BROADCAST_BYTES = 32 << 20
 BATCH_BYTES, SLICE_BYTES = 4 << 20, 2 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
+_HELD: dict = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -70,8 +72,36 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches, rows: int = 512, most: int = SLICE_BYTES):
-    """Arrow batches cut small by rows and bytes of text, so that Python objects of few texts exist at a time."""
+def held(key, make):
+    """``make()``, kept by the worker for the tasks that follow until another operator's task runs in it."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def give_back() -> None:
+    """Return what Python has freed to the system: Spark keeps workers, and gives them tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def slices(batches, rows: int = 512, most: int = SLICE_BYTES, holds: bool = False):
+    """Arrow batches cut small by rows and bytes of text, so that Python objects of few texts exist at a time.
+
+    What other operators hold in this worker goes, unless the caller ``holds`` something itself.
+    """
+    if not holds:
+        _HELD.clear()
+    try:
+        yield from _cut(batches, rows, most)
+    finally:
+        give_back()
+
+
+def _cut(batches, rows: int, most: int):
     for batch in batches:
         size = np.zeros(batch.num_rows, np.int64)
         for column in batch.columns:

@@ -5,10 +5,11 @@ import random
 import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
-from screenroll.llm import bpe, decontaminate, licenses, pii
+from screenroll.llm import bpe, common, decontaminate, licenses, pii
 from screenroll.llm.queries import BPE
 
 LUHN, IBAN = "4111 1111 1111 1111", "GB82WEST12345698765432"
@@ -76,9 +77,20 @@ def test_ids_equal_those_of_the_library(documents, reference):
         text = texts[row.doc_id] or ""
         ids = [int.from_bytes(row.ids[i:i + 4], "little") for i in range(0, len(row.ids), 4)]
         assert ids == reference[1].encode_ordinary(text) and bytes(row.decoded) == text.encode()
+    assert sorted(map(tuple, bpe.round_trip(df, **BPE).select(*df.columns).collect()), key=str) == sorted(
+        map(tuple, bpe.decode(bpe.encode(df, **BPE), **BPE).select(*df.columns).collect()), key=str)
     assert bpe.report(documents([]), **BPE).count() == 0
 
 
+def test_workers_hold_the_tables_of_one_operator():
+    assert common.held("a", lambda: 1) == 1 and common.held("a", lambda: 2) == 1
+    batch = pa.RecordBatch.from_pydict({"text": ["x"] * 5})
+    assert [b.num_rows for b in common.slices([batch], 3, holds=True)] == [3, 2]
+    assert common.held("a", lambda: 3) == 1
+    assert len(list(common.slices([batch]))) == 1 and common.held("a", lambda: 4) == 4
+    assert common.held("b", lambda: 5) == 5 and common.held("a", lambda: 6) == 6
+
+
 def test_rank_queue_gives_the_least_rank():
     queue, rng, held = bpe.RankQueue(50257), random.Random(1), {}
     for p in range(3000):
