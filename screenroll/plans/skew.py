@@ -12,7 +12,7 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import KEY
@@ -70,7 +70,8 @@ class Heavy:
     """What one count of the keys of several frames found.
 
     ``rows`` is a stored table (``k``, ``n0``, ``n1``, ..) of the keys that are heavy in a frame or
-    by the product of the ``joined`` frames.
+    by the product of the ``joined`` frames. The fact ``light<i>`` is the number of rows of all other
+    keys in frame i.
     """
 
     rows: DataFrame | None
@@ -135,13 +136,16 @@ def heavy_keys(
     some = [F.col(f"n{i}") > policy.rows_per_task for i in range(len(names))]
     weight = _weight([names.index(n) for n in (names if joined is None else joined)])
     counted = _counts(frames, key).withColumn("product", weight > policy.rows_per_task)
+    is_heavy, light = reduce(lambda a, b: a | b, [*some, F.col("product")]), Observation()
+    counted = counted.observe(
+        light, *[F.sum(F.when(~is_heavy, F.col(f"n{i}"))).alias(f"light{i}") for i in range(len(names))])
     rows, facts = stored(
-        counted.where(reduce(lambda a, b: a | b, [*some, F.col("product")])), "heavy",
+        counted.where(is_heavy), "heavy",
         products=F.count_if("product"),
         **{f"h{i}": F.count_if(one) for i, one in enumerate(some)},
         **{f"m{i}": F.max(f"n{i}") for i in range(len(names))},
     )
-    return Heavy(rows, names, facts, policy)
+    return Heavy(rows, names, facts | {k: v or 0 for k, v in light.get.items()}, policy)
 
 
 def split_counts(

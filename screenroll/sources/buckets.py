@@ -34,7 +34,8 @@ def bucket_feed(
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame] | None]:
     """Store staging tables by entity under ``root``; returns the tables as ``bucketed_feed`` does.
 
-    A load that dies leaves the tables stored before.
+    One task joins a bucket of all tables, so there are at least ``buckets``, and as many more as it takes
+    to have about ``rows_per_task`` rows of them in each. A load that dies leaves the tables stored before.
     """
     spark = next(iter(tables.values())).sparkSession
     keyed = {name: df for name, df in tables.items() if KEY in df.columns and name not in WHOLE}
@@ -42,7 +43,9 @@ def bucket_feed(
     joined = {}
     if STAR <= set(tables):
         joined = {f"joined {n}": df for n, df in (many_inputs(tables) | {"alias": tables["EntityAlias"]}).items()}
-    heavy = _all_heavy(heavy_keys(keyed | joined, policy, joined=list(joined or keyed)))
+    found = heavy_keys(keyed | joined, policy, joined=list(joined or keyed))
+    heavy, rows = _all_heavy(found), sum(found.facts[f"light{found.frames.index(name)}"] for name in keyed)
+    buckets = max(buckets, -(-rows // policy.rows_per_task))
     load, entries = uuid.uuid4().hex, {}
     for name, df in tables.items():
         path = f"load={load}/{name}"

@@ -7,6 +7,7 @@ from checks.compare import physical_plan, spark_bag
 from checks.fixtures import feed
 from screenroll.operators import consolidate
 from screenroll.plans.build import build_watchlist
+from screenroll.plans.pointer import current
 from screenroll.plans.skew import SkewPolicy
 from screenroll.sources.buckets import bucket_feed, bucketed_feed, over_buckets
 
@@ -71,3 +72,16 @@ def test_a_new_session_finds_the_buckets(spark, tables, tmp_path, no_small_table
     assert {t: spark_bag(df) for t, df in again.items()} == {t: spark_bag(df) for t, df in light.items()}
     joined = again["EntityDOB"].join(again["EntityAlias"], "EntityGUID")
     assert "Exchange" not in physical_plan(joined)
+
+
+def test_buckets_grow_with_the_rows(spark, small_feed, tmp_path):
+    def buckets(entities, root):
+        rows = [{"EntityGUID": f"E{i}", "EntityTypeDesc": "Individual"} for i in range(entities)]
+        tables = small_feed(Entity=rows, EntityDOB=[{"EntityGUID": r["EntityGUID"], "BirthYear": "1970"} for r in rows])
+        light, heavy = bucket_feed(tables, str(tmp_path / root), 2, SkewPolicy(rows_per_task=50))
+        assert heavy is None and light["Entity"].count() == entities
+        assert over_buckets(build_watchlist, (light, heavy), "1").count() == entities
+        return current(spark, str(tmp_path / root))["buckets"]
+
+    # Both tables have a row of each entity.
+    assert (buckets(20, "a"), buckets(100, "b"), buckets(400, "c")) == (2, 4, 16)
