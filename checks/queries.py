@@ -104,14 +104,14 @@ _BREAKS = "\n\r|"
 
 
 def _staged(spark: SparkSession, d: str) -> str:
-    """All stand-in tables written as feed files and loaded; the folder of the load."""
+    """All stand-in tables written as feed files (compressed) and loaded; the folder of the load."""
     folder, target = _scratch(spark), _scratch(spark)
     for table, rows in feed(spark, d).items():
         texts = {c: F.translate(F.col(c), _BREAKS, "   ") for c in STAND_IN_COLUMNS[table].split()}
         columns = [texts.get(c, F.lit(None).cast("string")).alias(c) for c in FEED[table]]
         rows.select(*columns).write.option("sep", "|").option("header", True).option("quote", "").option(
             "escape", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option(
-            "ignoreTrailingWhiteSpace", False).csv(f"{folder}/{table}.txt")
+            "ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(f"{folder}/{table}.txt")
     stage_feed(spark, folder, target)
     return target
 

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import encode_entity_type, fit, full_name
-from ..plans.shared import small, stored
+from ..plans.shared import bytes_under, small, stored_at
 from ..plans.skew import DEFAULT_POLICY, NO_SKEW, SkewPolicy, heavy_keys, split_counts
 from ..plans.star import HUB, Satellite, star_join
 from ..schemas import EXCLUDED_ALIAS_TYPES, ID_SLOTS, KEY, WATCHLIST_COLUMNS
 
 ALIAS = "alias"
+_GROUP_ROWS = 50_000
 
 
 def listed_aliases(alias: DataFrame) -> DataFrame:
@@ -152,20 +153,30 @@ def assign_ids(df: DataFrame, dense: bool = False) -> DataFrame:
     worked out again, so they do not depend on how the files are split when
     they are counted and numbered.
     """
-    place = F.monotonically_increasing_id()
     if not dense:
-        return df.select(place.alias("ID"), "*")
-    rows, _ = stored(df.withColumn("_place", place), "rows", n=F.count("*"))
+        return df.select(F.monotonically_increasing_id().alias("ID"), "*")
+    return stored_ids(df, True)[0]
+
+
+def stored_ids(df: DataFrame, dense: bool) -> tuple[DataFrame, int, int]:
+    """``assign_ids`` over rows that are stored first; also how many they are, and the bytes stored."""
+    spark = df.sparkSession
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    rows, path, facts = stored_at(placed, "rows", _GROUP_ROWS, n=F.count("*"))
+    size = bytes_under(spark, path)
+    if not dense:
+        return rows.select(F.col("_place").alias("ID"), *df.columns), facts["n"], size
     part = F.shiftright("_place", 33).cast("int")
     position = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = rows.groupBy(part.alias("_part")).agg((F.max(position) + 1).alias("n")).orderBy("_part").toArrow()
     # One row per task that wrote rows, whatever the number of rows.
     before = [0, *accumulate(sizes.column("n").to_pylist())][: sizes.num_rows]
-    first = df.sparkSession.createDataFrame(
+    first = spark.createDataFrame(
         pa.table({"_part": sizes.column("_part"), "_first": pa.array(before, pa.int64())})
     )
-    return (
+    numbered = (
         rows.withColumn("_part", part)
         .join(small(first, sizes.num_rows, 16), "_part")
         .select((F.col("_first") + position + 1).alias("ID"), *df.columns)
     )
+    return numbered, facts["n"], size

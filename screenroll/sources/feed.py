@@ -110,7 +110,7 @@ def _load(spark: SparkSession, folder: str, target: str, path: str, table: str,
         .withColumn("LoadReason", _reason(table))
         .withColumn("LoadState", F.when(reason.isNull(), "good").otherwise("bad"))
         .observe(seen, F.count_if(reason.isNull()).alias("good"), F.count_if(reason.isNotNull()).alias("bad"))
-        .write.partitionBy("LoadState").parquet(f"{target}/{path}")
+        .write.option("compression", "zstd").partitionBy("LoadState").parquet(f"{target}/{path}")
     )
     good, bad = seen.get["good"] or 0, seen.get["bad"] or 0
     log.info("%s: %d rows, %d bad", table, good, bad)

@@ -1,5 +1,7 @@
 """Stored sets of tables: a writer that dies after any step leaves the old set or the new one."""
 
+import sys
+
 import pytest
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
@@ -169,3 +171,31 @@ def test_dense_ids_do_not_follow_the_split_size(spark, split):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_a_task_sorts_a_bounded_number_of_rows(spark, tmp_path, monkeypatch, dense):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+
+    monkeypatch.setattr(build, "SORTED_ROWS", 300)
+    monkeypatch.setattr(build, "_LEAST_SPLIT", 1)
+    monkeypatch.setattr(sys.modules["screenroll.operators.publish"], "_GROUP_ROWS", 100)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "77m")
+    try:
+        rows = spark.range(0, 6000, numPartitions=2).select(
+            F.concat(F.lit("E"), F.col("id") % 700).alias("EntityGUID"),
+            F.sha2(F.col("id").cast("string"), 256).alias("EntityAliasGUID"))
+        path = build.write_watchlist(rows, str(tmp_path / "list"), "1", dense)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "77m"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    tables = [pq.read_table(f).to_pylist() for f in Path(path).glob("*.parquet")]
+    assert max(len(t) for t in tables) <= 500 and sum(len(t) for t in tables) == 6000
+    for table in tables:
+        order = [(r["EntityGUID"], r["EntityAliasGUID"]) for r in table]
+        assert order == sorted(order)
+    ids = sorted(r["ID"] for t in tables for r in t)
+    assert len(set(ids)) == 6000 and (not dense or ids == list(range(1, 6001)))
