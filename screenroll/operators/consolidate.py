@@ -45,12 +45,21 @@ def consolidate(
     ``null_if_single``.
     """
     if not dedup:
-        rows = joined_attributes(tables, row_limit, False, policy, **options)
-        return with_list_type(rows).select(*PROFILE_COLUMNS)
+        rows = joined_attributes(tables, row_limit, False, policy, anonymous=False, **options)
+        profiles = with_list_type(rows).select(*PROFILE_COLUMNS)
+        return profiles.unionByName(nameless_profiles(tables, row_limit, profiles))
     profiles, anonymous = distinct_profiles(tables, row_limit, policy, **options)
     return profiles.unionByName(anonymous)
 
 
+def nameless_profiles(tables: dict[str, DataFrame], row_limit: int | None, profiles: DataFrame) -> DataFrame:
+    """Profiles of the entities without an id, which match nothing, in the columns of ``profiles``."""
+    others = _entities(tables["Entity"], row_limit, False)
+    types = {f.name: f.dataType for f in profiles.schema}
+    empty = [F.lit(None).cast(types[c]).alias(c) for c in PROFILE_COLUMNS if c not in others.columns]
+    return others.select("*", *empty).select(*PROFILE_COLUMNS)
+
+
 def distinct_profiles(
     tables: dict[str, DataFrame],
     row_limit: int | None = None,
@@ -64,9 +73,7 @@ def distinct_profiles(
     """
     joined = joined_attributes(tables, row_limit, True, policy, anonymous=False, **options)
     profiles = with_list_type(joined).select(*PROFILE_COLUMNS).distinct()
-    others = _entities(tables["Entity"], row_limit, False).distinct()
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in profiles.schema if f.name not in others.columns]
-    return profiles, others.select("*", *empty).select(*PROFILE_COLUMNS)
+    return profiles, nameless_profiles(tables, row_limit, profiles).distinct()
 
 
 def many_inputs(tables: dict[str, DataFrame], row_limit: int | None = None) -> dict[str, DataFrame]:
@@ -115,7 +122,8 @@ def joined_attributes(
     """The star join behind the profiles, before the list type is known.
 
     ``last`` is one more satellite, joined after all others. Satellites with
-    one row per entity come first, so that rows multiply late. Heavy keys are
+    one row per entity come first, so that rows multiply late; the long texts
+    are joined just before ``last``, as every later join copies them. Heavy keys are
     counted once, on the key columns of the inputs; what they join is counted
     again only for those. Entities without an id match nothing; they bypass
     the joins, or are left out without ``anonymous``.
@@ -132,12 +140,6 @@ def joined_attributes(
     satellites = [
         Satellite("exposed", pep_entities(assoc).withColumn("_exposed", F.lit(True))),
         Satellite("birth_dates", format_birth_dates(tables["EntityDOB"], order, null_parts)),
-        Satellite("remarks", merge_remarks(remark, null_if_single, heavy, policy)),
-        Satellite(
-            "sources",
-            merge_sources(tables["EntitySourceItem"])
-            .withColumnRenamed("SourceURI", "OriginalSource"),
-        ),
         Satellite(
             "national_ids",
             merge_national_ids(ident, null_if_single).withColumnsRenamed(
@@ -155,6 +157,12 @@ def joined_attributes(
             .drop("CountryCode"),
         ),
         Satellite("birth_place", birth_places(address, overlong), only_with="HasAddress"),
+        Satellite("remarks", merge_remarks(remark, null_if_single, heavy, policy)),
+        Satellite(
+            "sources",
+            merge_sources(tables["EntitySourceItem"])
+            .withColumnRenamed("SourceURI", "OriginalSource"),
+        ),
     ]
     if last:
         satellites.append(last)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.consolidate import distinct_profiles, joined_attributes, many_inputs, with_list_type
+from ..operators.consolidate import (
+    distinct_profiles, joined_attributes, many_inputs, nameless_profiles, with_list_type,
+)
 from ..operators.publish import ALIAS, alias_satellite, list_rows, publish, publish_base, stored_ids
 from ..operators.views import run_summary
 from ..schemas import KEY
@@ -38,10 +40,13 @@ def build_watchlist(
         sources = many_inputs(tables, row_limit) | {ALIAS: alias}
         listed = publish(profiles, alias, version_id, run_ts, policy, sources)
         return listed.unionByName(publish_base(anonymous, version_id, run_ts))
-    rows = joined_attributes(
-        tables, row_limit, False, policy, last=alias_satellite(alias, policy), **options
+    joined = joined_attributes(
+        tables, row_limit, False, policy, last=alias_satellite(alias, policy), anonymous=False, **options
     )
-    return list_rows(with_list_type(rows), version_id, run_ts)
+    rows = with_list_type(joined)
+    # United last: rows that cross a union are written out once more on the way.
+    others = publish_base(nameless_profiles(tables, row_limit, rows), version_id, run_ts)
+    return list_rows(rows, version_id, run_ts).unionByName(others)
 
 
 def write_watchlist(watchlist: DataFrame, root: str, version_id: str, dense_ids: bool = False) -> str:
